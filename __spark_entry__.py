@@ -18,19 +18,24 @@ from webmart.functions.categories import event_category  # noqa: E402
 from webmart.operators import dimensions, keywords, quality, reporting, sessions  # noqa: E402
 from webmart.plans.mart import Mart  # noqa: E402
 from webmart.sinks import files, insights  # noqa: E402
-from webmart.sinks.tables import scratch_folder  # noqa: E402
+from webmart.sinks.tables import ScratchStore, scratch_folder  # noqa: E402
 from webmart.sources import exports, sample  # noqa: E402
 
 _SETTINGS = sample.SETTINGS
 _EVENT_KEYS = ("user_pseudo_id", "event_timestamp", "page_location")
 
 
+def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded keyword table, saved: lookups then read its paths and categories instead of working them out again."""
+    return ScratchStore(spark).save("staging", "semrush_keywords", sample.loaded_keywords(spark, sf_dir))
+
+
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.extract_events(sample.events(spark, sf_dir))
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.stg_sessions(sample.events(spark, sf_dir), sample.loaded_keywords(spark, sf_dir), _SETTINGS)
+    return sessions.stg_sessions(sample.events(spark, sf_dir), _keywords(spark, sf_dir), _SETTINGS)
 
 
 def _mart(spark: SparkSession, sf_dir: str) -> Mart:
@@ -67,7 +72,7 @@ def _stripped_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stripped_paths(spark, sf_dir).withColumn("category", event_category(F.col("stripped_path")))
+    return _stripped_paths(spark, sf_dir).withColumn("category", event_category("stripped_path"))
 
 
 def _keyword_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +109,7 @@ def _keyword_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = sample.loaded_keywords(spark, sf_dir)
+    loaded = _keywords(spark, sf_dir)
     return sessions.resolve_pages(
         sessions.first_page_view(_extracted(spark, sf_dir), _SETTINGS),
         keywords.path_lookup(loaded, _SETTINGS),
@@ -112,17 +117,6 @@ def _page_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _page_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.page_universe(
-        dimensions.viewed_paths(sample.events(spark, sf_dir), _SETTINGS),
-        keywords.path_lookup(sample.loaded_keywords(spark, sf_dir), _SETTINGS),
-        _staged(spark, sf_dir),
-    )
-
-
-def _dim_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = keywords.best_keyword(sample.loaded_keywords(spark, sf_dir), _SETTINGS)
-    return dimensions.dim_page(_page_universe(spark, sf_dir), best)
 
 
 def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +142,7 @@ def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _over_loaded(operator: Callable, *more: object) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(sample.loaded_keywords(spark, sf_dir), *more)
+    return lambda spark, sf_dir: operator(_keywords(spark, sf_dir), *more)
 
 
 def _over_prepared(operator: Callable, *more: object) -> Callable[[SparkSession, str], DataFrame]:
@@ -187,8 +181,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "domain_ranks": sample.domain_ranks,
         "dim_date": _dim_date,
         "dim_channel": lambda spark, sf_dir: dimensions.dim_channel(_staged(spark, sf_dir)),
-        "page_universe": _page_universe,
-        "dim_page": _dim_page,
+        "page_universe": lambda spark, sf_dir: _mart(spark, sf_dir).page_universe,
+        "dim_page": lambda spark, sf_dir: _mart(spark, sf_dir).pages_with_keywords,
         "dim_competitor": lambda spark, sf_dir: _mart(spark, sf_dir).dim_competitor,
         "fact_sessions": lambda spark, sf_dir: _mart(spark, sf_dir).fact_sessions,
         "rpt_sessions_enriched": _report("rpt_sessions_enriched"),

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from webmart.functions.categories import CATEGORY_RULES
 from webmart.functions.labels import CHANNEL_GROUPS
+from webmart.functions.paths import WHITE_SPACE
 from webmart.operators.quality import NO_CATEGORY
 from webmart.sources import sample
 
-_SPACE = r"^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$"
 
 
 def _text(value: str | None) -> str:
@@ -24,7 +24,7 @@ def _pick(values: tuple, number: str) -> str:
 
 
 def _trimmed(url: str) -> str:
-    return f"regexp_replace(lower({url}), '{_SPACE}', '', 'g')"
+    return f"trim(lower({url}), '{WHITE_SPACE}')"
 
 
 def _bare(path: str) -> str:

@@ -35,6 +35,11 @@ def rounded(number: Column) -> Column:
     return F.round(number).cast("bigint")
 
 
+def count_where(condition: Column) -> Column:
+    """Rows that meet a condition; unlike ``count_if`` it adds no helper column below the aggregation."""
+    return F.count(F.when(condition, F.lit(1)))
+
+
 def exact_sum(amount: Column) -> Column:
     """Sum of doubles that does not depend on the order of the rows, hence not on the partitioning."""
     return F.sum(amount.cast(MONEY)).cast("double")

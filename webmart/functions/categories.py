@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,36 +47,36 @@ CATEGORIES = tuple(category for _, category in CATEGORY_RULES)
 
 _ALTERNATIVE = re.compile(r"\|(?![^(]*\))")
 _PLAIN = re.compile(r"(\^?)([a-z/\-]+)")
+_CAP = "cap(?!e)"
 
 
-def _any_match(path: Column, alternatives: list[str]) -> Column:
-    """Whether a path matches one of the alternatives; plain text is searched without a regular expression."""
-    tests = []
-    for text in alternatives:
-        plain = _PLAIN.fullmatch(text)
-        if plain is None:
-            tests.append(path.rlike(text))
-        else:
-            tests.append(path.startswith(plain[2]) if plain[1] else path.contains(plain[2]))
-    return reduce(or_, tests)
+def _test(path: str, text: str) -> str:
+    """SQL test of one alternative; plain text is searched without a regular expression."""
+    plain = _PLAIN.fullmatch(text)
+    if plain is None:
+        return f"{path} RLIKE r'{text}'"
+    return f"startswith({path}, '{plain[2]}')" if plain[1] else f"contains({path}, '{plain[2]}')"
 
 
-def event_category(path: Column) -> Column:
-    """Category of an event page path (lower case already); NULL when no rule matches."""
-    label = F
+def _rules(path: str, special: dict[str, str]) -> str:
+    arms = []
     for pattern, category in CATEGORY_RULES:
-        alternatives = _ALTERNATIVE.split(pattern)
-        match = _any_match(path, [text for text in alternatives if text != "cap(?!e)"])
-        if "cap(?!e)" in alternatives:
-            # Event paths settle this on the whole path: one "cape" anywhere rules out every "cap".
-            match = match | (path.contains("cap") & ~path.contains("cape"))
-        label = label.when(match, F.lit(category))
-    return label
-
-
-def keyword_category(path: Column) -> Column:
-    """Category of a keyword page path (lower case already); NULL for product and legacy pages and when no rule matches."""
-    label = F.when(path.rlike(PRODUCT_PAGE) | path.rlike(LEGACY_PAGE), F.lit(None).cast("string"))
-    for pattern, category in CATEGORY_RULES:
-        label = label.when(_any_match(path, _ALTERNATIVE.split(pattern)), F.lit(category))
-    return label
+        tests = [special.get(text) or _test(path, text) for text in _ALTERNATIVE.split(pattern)]
+        arms.append(f"WHEN {' OR '.join(tests)} THEN '{category}'")
+    return " ".join(arms)
+
+
+def event_category(path: str) -> Column:
+    """Category of the event page path in a column (lower case already); NULL when no rule matches.
+
+    The path should be a stored or aggregated column: its expression would be repeated in every rule.
+    """
+    # Event paths settle cap/cape on the whole path: one "cape" anywhere rules out every "cap".
+    cap = f"(contains({path}, 'cap') AND NOT contains({path}, 'cape'))"
+    return F.expr(f"CASE {_rules(path, {_CAP: cap})} END")
+
+
+def keyword_category(path: str) -> Column:
+    """The same for a keyword page path; product and legacy pages have no category either."""
+    excluded = f"{path} RLIKE r'{PRODUCT_PAGE}' OR {path} RLIKE r'{LEGACY_PAGE}'"
+    return F.expr(f"CASE WHEN {excluded} THEN NULL {_rules(path, {})} END")

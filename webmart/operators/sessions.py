@@ -66,38 +66,34 @@ def _purchase_revenue() -> Column:
     return casts.exact_sum(F.when(_is(PURCHASE), F.coalesce("purchase_revenue", F.lit(0.0))).otherwise(F.lit(0.0)))
 
 
-def _attributes(start: str, settings: MartSettings) -> list[Column]:
-    def of(name: str) -> Column:
-        return F.col(f"{start}.{name}")
-
-    landing = paths.event_path(of("page_location"))
+def _attributes(start: Column, settings: MartSettings) -> list[Column]:
+    landing = paths.event_path(start["page_location"])
     if settings.normalize_landing:
         landing = paths.strip_prefix(landing, settings.site_prefix)
     return [
-        F.to_date(of("event_date"), "yyyyMMdd").alias("session_date"),
-        F.coalesce(of("medium"), F.lit("(none)")).alias("channel"),
-        F.coalesce(of("source"), F.lit("(direct)")).alias("source"),
-        F.coalesce(of("device_category"), F.lit("unknown")).alias("device_category"),
-        F.coalesce(of("country"), F.lit("unknown")).alias("country"),
+        F.to_date(start["event_date"], "yyyyMMdd").alias("session_date"),
+        F.coalesce(start["medium"], F.lit("(none)")).alias("channel"),
+        F.coalesce(start["source"], F.lit("(direct)")).alias("source"),
+        F.coalesce(start["device_category"], F.lit("unknown")).alias("device_category"),
+        F.coalesce(start["country"], F.lit("unknown")).alias("country"),
         landing.alias("landing_page_path"),
-        (F.coalesce(of("engagement_time_msec"), F.lit(0)) / 1000).alias("session_duration_sec"),
+        (F.coalesce(start["engagement_time_msec"], F.lit(0)) / 1000).alias("session_duration_sec"),
     ]
 
 
 def session_attrs(extracted: DataFrame, settings: MartSettings) -> DataFrame:
     """Attributes of each session's earliest start event."""
-    starts = extracted.where(_is(START)).withColumn("session_engaged", F.coalesce("session_engaged", F.lit("0")))
-    first = starts.groupBy(*KEYS).agg(_earliest(_is(START), *_ATTRIBUTES, "session_engaged").alias("start"))
-    engaged = (F.col("start.session_engaged") == "1").alias("engaged_session")
-    return first.select(*KEYS, *_attributes("start", settings), engaged)
+    start = _earliest(_is(START), *_ATTRIBUTES, "session_engaged")
+    engaged = F.coalesce(start["session_engaged"], F.lit("0")) == "1"
+    starts = extracted.where(_is(START)).groupBy(*KEYS)
+    return starts.agg(*_attributes(start, settings), engaged.alias("engaged_session"))
 
 
 def first_page_view(extracted: DataFrame, settings: MartSettings) -> DataFrame:
     """Path of each session's earliest page view, as seen and without the site prefix."""
-    views = extracted.where(_is(VIEW))
-    first = views.groupBy(*KEYS).agg(_earliest(_is(VIEW), "event_timestamp", "page_location").alias("view"))
-    raw = first.select(*KEYS, paths.event_path(F.col("view.page_location")).alias("raw_page_path"))
-    return raw.withColumn("stripped_path", paths.strip_prefix(F.col("raw_page_path"), settings.site_prefix))
+    view = _earliest(_is(VIEW), "event_timestamp", "page_location")
+    first = extracted.where(_is(VIEW)).groupBy(*KEYS).agg(paths.event_path(view["page_location"]).alias("raw_page_path"))
+    return first.withColumn("stripped_path", paths.strip_prefix(F.col("raw_page_path"), settings.site_prefix))
 
 
 def session_metrics(extracted: DataFrame) -> DataFrame:
@@ -106,8 +102,8 @@ def session_metrics(extracted: DataFrame) -> DataFrame:
         extracted.where(F.col("ga_session_id").isNotNull())
         .groupBy(*KEYS)
         .agg(
-            F.count_if(_is(VIEW)).alias("page_views"),
-            F.count_if(_is(PURCHASE)).alias("purchases"),
+            casts.count_where(_is(VIEW)).alias("page_views"),
+            casts.count_where(_is(PURCHASE)).alias("purchases"),
             F.bool_or(_is_engaged()).alias("engaged_session"),
             _purchase_revenue().alias("revenue"),
         )
@@ -127,7 +123,7 @@ def resolve_pages(stripped: DataFrame, path_lookup: DataFrame, category_lookup:
         .withColumnRenamed("join_category", "_category")
     )
     exact = stripped.join(by_path.withColumnRenamed("stripped_path", "_path"), F.col("stripped_path") == F.col("_path"), "left")
-    missed = F.when(F.col("_exact").isNull(), event_category(F.col("stripped_path")))
+    missed = F.when(F.col("_exact").isNull(), event_category("stripped_path"))
     matched = exact.withColumn("_wanted", missed).join(
         F.broadcast(by_category), F.col("_wanted") == F.col("_category"), "left"
     )
@@ -145,38 +141,27 @@ def sessions(
     session id form one row per user, with no page and no metrics.
     """
     useful = extracted.where(_is(START) | _is(VIEW) | _is(PURCHASE) | _is_engaged())
-    grouped = (
-        useful.groupBy(*KEYS)
-        .agg(
-            _earliest(_is(START), *_ATTRIBUTES).alias("start"),
-            _earliest(_is(VIEW), "event_timestamp", "page_location").alias("view"),
-            F.count_if(_is(VIEW)).alias("page_views"),
-            F.count_if(_is(PURCHASE)).alias("purchases"),
-            F.bool_or(_is_engaged()).alias("engaged"),
-            _purchase_revenue().alias("revenue"),
-        )
-        .where(F.col("start").isNotNull())
-    )
+    start = _earliest(_is(START), *_ATTRIBUTES)
+    view = _earliest(_is(VIEW), "event_timestamp", "page_location")
+    first_path = paths.strip_prefix(paths.event_path(view["page_location"]), settings.site_prefix)
     identified = F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull()
-    first_path = paths.strip_prefix(paths.event_path(F.col("view.page_location")), settings.site_prefix)
-    stripped = grouped.withColumn("stripped_path", F.when(identified & F.col("view").isNotNull(), first_path))
-    resolved = resolve_pages(stripped, path_lookup, category_lookup)
 
     def metric(value: Column, empty: object) -> Column:
         return F.when(identified, F.coalesce(value, F.lit(empty))).otherwise(F.lit(empty))
 
-    return resolved.select(
+    # Everything is derived in the aggregate's own output: rows that reach the joins carry finished columns only.
+    grouped = useful.groupBy(*KEYS).agg(
+        start.isNotNull().alias("started"),
+        *_attributes(start, settings),
+        F.when(identified & view.isNotNull(), first_path).alias("stripped_path"),
+        metric(F.bool_or(_is_engaged()), False).alias("engaged_session"),
+        metric(casts.count_where(_is(VIEW)), 0).cast("bigint").alias("page_views"),
+        metric(casts.count_where(_is(PURCHASE)), 0).cast("bigint").alias("purchases"),
+        metric(_purchase_revenue(), 0.0).alias("revenue"),
+    )
+    return resolve_pages(grouped.where("started"), path_lookup, category_lookup).select(
         F.concat("user_pseudo_id", F.lit("_"), F.col("ga_session_id").cast("string")).alias("session_id"),
         *KEYS,
-        "page_path",
-        metric(F.col("engaged"), False).alias("engaged_session"),
-        metric(F.col("page_views"), 0).cast("bigint").alias("page_views"),
-        metric(F.col("purchases"), 0).cast("bigint").alias("purchases"),
-        metric(F.col("revenue"), 0.0).alias("revenue"),
-        *_attributes("start", settings),
-    ).select(
-        "session_id",
-        *KEYS,
         "session_date",
         "channel",
         "source",

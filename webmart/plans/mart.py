@@ -26,8 +26,9 @@ class Store(Protocol):
 class Mart:
     """Tables of the mart over event, keyword and rank frames; each table is built when first asked for.
 
-    Tables that several others read (sessions, channels, pages) are saved before use. That runs the event scan once,
-    and lets Spark decide on each dimension join by the size of a finished table. Reports stay lazy frames.
+    Tables that several others read (keywords, sessions, channels, pages) are saved before use. That runs the event
+    scan once, keeps path and category rules out of later plans, and lets Spark decide on each dimension join by the
+    size of a finished table. Reports stay lazy frames.
     """
 
     def __init__(
@@ -40,11 +41,15 @@ class Mart:
     ):
         self.spark: SparkSession = events.sparkSession
         self.events = events
-        self.keywords = loaded_keywords
+        self.loaded_keywords = loaded_keywords
         self.ranks = ranks
         self.settings = settings
         self.store = store or ScratchStore(self.spark)
 
+    @cached_property
+    def keywords(self) -> DataFrame:
+        return self.store.save("staging", "semrush_keywords", self.loaded_keywords)
+
     @cached_property
     def sessions(self) -> DataFrame:
         staged = sessions.stg_sessions(self.events, self.keywords, self.settings)
@@ -59,14 +64,20 @@ class Mart:
         return self.store.save("marts", "dim_channel", dimensions.dim_channel(self.sessions))
 
     @cached_property
-    def dim_page(self) -> DataFrame:
-        pages = dimensions.page_universe(
+    def page_universe(self) -> DataFrame:
+        return dimensions.page_universe(
             dimensions.viewed_paths(self.events, self.settings),
             keywords.path_lookup(self.keywords, self.settings),
             self.sessions,
         )
-        best = keywords.best_keyword(self.keywords, self.settings)
-        return self.store.save("marts", "dim_page", dimensions.dim_page(pages, best))
+
+    @cached_property
+    def pages_with_keywords(self) -> DataFrame:
+        return dimensions.dim_page(self.page_universe, keywords.best_keyword(self.keywords, self.settings))
+
+    @cached_property
+    def dim_page(self) -> DataFrame:
+        return self.store.save("marts", "dim_page", self.pages_with_keywords)
 
     @cached_property
     def dim_competitor(self) -> DataFrame:
@@ -127,9 +138,8 @@ def build_mart(
     """
     spark = events.sparkSession
     store = CatalogStore(spark, staging, marts)
-    kept_keywords = store.save("staging", "semrush_keywords", loaded_keywords)
     kept_ranks = None if ranks is None else store.save("staging", "domain_ranks", ranks)
-    mart = Mart(events, kept_keywords, kept_ranks, settings, store)
+    mart = Mart(events, loaded_keywords, kept_ranks, settings, store)
     mart.dim_date = store.save("marts", "dim_date", dimensions.dim_date(spark, *settings.calendar))
     if kept_ranks is not None:
         mart.dim_competitor = store.save(

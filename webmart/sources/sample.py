@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from webmart.operators import keywords
 from webmart.settings import MartSettings
@@ -92,79 +91,63 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple, number: Column) -> Column:
-    choices = F.array(*[F.lit(value).cast("string") for value in values])
-    return F.get(choices, (number % len(values)).cast("int"))
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
 
 
-def _micros(ts: Column) -> Column:
-    seconds = F.datediff(ts, F.lit("1970-01-01").cast("date")) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
-    return seconds.cast("bigint") * 1000000 + (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
+def _pick(values: tuple, number: str) -> str:
+    """SQL for the list item that a remainder points at."""
+    return f"element_at(array({', '.join(map(_literal, values))}), CAST({number} % {len(values)} AS INT) + 1)"
 
 
-def _param(key: str, condition: Column, field: str, value: Column) -> Column:
-    none = {"int_value": F.lit(None).cast("bigint"), "string_value": F.lit(None).cast("string")}
-    fields = {**none, field: value}
-    record = F.struct(*[column.alias(name) for name, column in fields.items()])
-    return F.when(condition, F.struct(F.lit(key).alias("key"), record.alias("value")))
+def _param(key: str, condition: str, field: str, value: str) -> str:
+    """SQL for one event parameter, NULL where the condition fails."""
+    whole, text = (value, "CAST(NULL AS STRING)") if field == "int_value" else ("CAST(NULL AS BIGINT)", value)
+    record = f"named_struct('int_value', CAST({whole} AS BIGINT), 'string_value', {text})"
+    return f"CASE WHEN {condition} THEN named_struct('key', '{key}', 'value', {record}) END"
 
 
 def events(spark: SparkSession, sf_dir: str, settings: MartSettings = SETTINGS) -> DataFrame:
     """Nested events of the settings' days; the day range reaches the scan as a filter on ``ts``."""
-    first, last = (F.to_timestamp_ntz(F.lit(day), F.lit("yyyyMMdd")) for day in settings.event_days)
-    raw = _table(spark, sf_dir, "events")
-    raw = raw.where((F.col("ts") >= first) & (F.col("ts") < last + F.expr("interval 1 day")))
-    event_id, user_id, value, ts = F.col("event_id"), F.col("user_id"), F.col("value"), F.col("ts")
-    day = F.date_format(ts, "yyyyMMdd")
-    name = (
-        F.when(F.col("event_type") == "signup", "session_start")
-        .when(F.col("event_type").isin("view", "click"), "page_view")
-        .when(F.col("event_type") == "purchase", "purchase")
-        .otherwise("user_engagement")
+    first, last = (f"to_timestamp_ntz('{day}', 'yyyyMMdd')" for day in settings.event_days)
+    raw = _table(spark, sf_dir, "events").where(f"ts >= {first} AND ts < {last} + INTERVAL 1 DAY")
+    day = "year(ts) * 10000 + month(ts) * 100 + day(ts)"
+    seconds = "CAST(datediff(ts, DATE '1970-01-01') AS BIGINT) * 86400 + hour(ts) * 3600 + minute(ts) * 60"
+    location = _pick(PAGE_LOCATIONS, "event_id")
+    engagement = "CASE WHEN event_id % 50 = 7 THEN 2500 ELSE event_id * 37 % 90000 END"
+    params = (
+        _param("ga_session_id", "event_id % 97 <> 5", "int_value", "day_number"),
+        _param("page_location", "location IS NOT NULL", "string_value", "location"),
+        _param("session_engaged", "event_id % 5 <> 0", "string_value", "CASE WHEN value >= 50 THEN '1' ELSE '0' END"),
+        _param("engagement_time_msec", "event_id % 13 <> 0", "int_value", engagement),
     )
-    location = _pick(PAGE_LOCATIONS, event_id)
-    params = F.array(
-        _param("ga_session_id", event_id % 97 != 5, "int_value", day.cast("bigint")),
-        _param("page_location", location.isNotNull(), "string_value", location),
-        _param("session_engaged", event_id % 5 != 0, "string_value", F.when(value >= 50, "1").otherwise("0")),
-        _param(
-            "engagement_time_msec",
-            event_id % 13 != 0,
-            "int_value",
-            F.when(event_id % 50 == 7, F.lit(2500)).otherwise(event_id * 37 % 90000).cast("bigint"),
-        ),
-    )
-    return raw.select(
-        user_id.cast("string").alias("user_pseudo_id"),
-        day.alias("event_date"),
-        name.alias("event_name"),
-        _micros(ts).alias("event_timestamp"),
-        F.struct(_pick(MEDIA, user_id).alias("medium"), _pick(TRAFFIC_SOURCES, user_id).alias("source")).alias(
-            "traffic_source"
-        ),
-        F.struct(_pick(DEVICES, user_id).alias("category")).alias("device"),
-        F.struct(
-            F.when(user_id % 29 != 3, F.concat(F.lit("NATION_"), (user_id % 25).cast("string"))).alias("country")
-        ).alias("geo"),
-        F.struct(F.when(event_id % 11 != 0, value).alias("purchase_revenue")).alias("ecommerce"),
-        F.array_compact(params).alias("event_params"),
+    return raw.selectExpr("*", f"{day} AS day_number", f"{location} AS location").selectExpr(
+        "CAST(user_id AS STRING) AS user_pseudo_id",
+        "CAST(day_number AS STRING) AS event_date",
+        "CASE WHEN event_type = 'signup' THEN 'session_start' WHEN event_type IN ('view', 'click') THEN 'page_view' "
+        "WHEN event_type = 'purchase' THEN 'purchase' ELSE 'user_engagement' END AS event_name",
+        f"({seconds}) * 1000000 + CAST(extract(SECOND FROM ts) * 1000000 AS BIGINT) AS event_timestamp",
+        f"named_struct('medium', {_pick(MEDIA, 'user_id')}, 'source', {_pick(TRAFFIC_SOURCES, 'user_id')}) "
+        "AS traffic_source",
+        f"named_struct('category', {_pick(DEVICES, 'user_id')}) AS device",
+        "named_struct('country', CASE WHEN user_id % 29 <> 3 THEN concat('NATION_', user_id % 25) END) AS geo",
+        "named_struct('purchase_revenue', CASE WHEN event_id % 11 <> 0 THEN value END) AS ecommerce",
+        f"array_compact(array({', '.join(params)})) AS event_params",
     )
 
 
 def keyword_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw keyword rows as text, under the headers of the exports."""
-    key = F.col("p_partkey")
-    block = F.floor(key / 20)
-    return _table(spark, sf_dir, "part").select(
-        F.concat("p_name", F.lit(" "), key).alias("Keyword"),
-        F.when(key % 37 != 11, F.col("p_size") * 2 - 1).cast("string").alias("Position"),
-        F.when(key % 41 != 7, key * 7919 % 100000).cast("string").alias("Search Volume"),
-        (F.col("p_retailprice") / 1000).cast("string").alias("CPC"),
-        ((key * 31 % 1000) / F.lit(10.0)).cast("string").alias("Traffic (%)"),
-        ((key % 100) / F.lit(100.0)).cast("string").alias("Competition"),
-        _pick(KEYWORD_URLS, key).alias("Url"),
-        _pick(KEYWORD_DOMAINS, block).alias("domain"),
-        F.when(F.floor(key / 100) % 3 < 2, "organic").otherwise("paid").alias("source"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "concat(p_name, ' ', p_partkey) AS Keyword",
+        "CASE WHEN p_partkey % 37 <> 11 THEN CAST(p_size * 2 - 1 AS STRING) END AS Position",
+        "CASE WHEN p_partkey % 41 <> 7 THEN CAST(p_partkey * 7919 % 100000 AS STRING) END AS `Search Volume`",
+        "CAST(p_retailprice / 1000 AS STRING) AS CPC",
+        "CAST((p_partkey * 31 % 1000) / 10.0D AS STRING) AS `Traffic (%)`",
+        "CAST((p_partkey % 100) / 100.0D AS STRING) AS Competition",
+        f"{_pick(KEYWORD_URLS, 'p_partkey')} AS Url",
+        f"{_pick(KEYWORD_DOMAINS, '(p_partkey div 20)')} AS domain",
+        "CASE WHEN (p_partkey div 100) % 3 < 2 THEN 'organic' ELSE 'paid' END AS source",
     )
 
 
@@ -178,22 +161,19 @@ def loaded_keywords(spark: SparkSession, sf_dir: str, settings: MartSettings = S
 
 def rank_exports(spark: SparkSession, sf_dir: str, settings: MartSettings = SETTINGS) -> DataFrame:
     """Rank rows under the headers of the exports, one per supplier; the first suppliers stand for the tracked domains."""
-    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
-    balance = F.floor("s_acctbal")
-    zero = F.lit("0")
     tracked = tuple(settings.domains.values())
-    other = F.concat(F.lit("shop-"), key.cast("string"), F.lit(".example"))
-    return _table(spark, sf_dir, "supplier").select(
-        F.when(key < len(tracked), _pick(tracked, key)).otherwise(other).alias("Domain"),
-        (key + 1).cast("string").alias("Rank"),
-        balance.cast("string").alias("Organic Keywords"),
-        (balance * 10).cast("string").alias("Organic Traffic"),
-        nation.cast("string").alias("Organic Cost"),
-        F.when(key != 2, nation * 2).cast("string").alias("Adwords Keywords"),
-        zero.alias("Adwords Traffic"),
-        zero.alias("Adwords Cost"),
-        zero.alias("PLA keywords"),
-        zero.alias("PLA uniques"),
+    return _table(spark, sf_dir, "supplier").selectExpr(
+        f"CASE WHEN s_suppkey < {len(tracked)} THEN {_pick(tracked, 's_suppkey')} "
+        "ELSE concat('shop-', s_suppkey, '.example') END AS Domain",
+        "CAST(s_suppkey + 1 AS STRING) AS Rank",
+        "CAST(floor(s_acctbal) AS STRING) AS `Organic Keywords`",
+        "CAST(floor(s_acctbal) * 10 AS STRING) AS `Organic Traffic`",
+        "CAST(s_nationkey AS STRING) AS `Organic Cost`",
+        "CASE WHEN s_suppkey <> 2 THEN CAST(s_nationkey * 2 AS STRING) END AS `Adwords Keywords`",
+        "'0' AS `Adwords Traffic`",
+        "'0' AS `Adwords Cost`",
+        "'0' AS `PLA keywords`",
+        "'0' AS `PLA uniques`",
     )
 
 
