@@ -1,0 +1,223 @@
+"""Column expressions on literal values."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from webmart.functions import casts, kpis, labels, paths
+from webmart.functions.calendar import is_weekend, sunday_week
+from webmart.functions.categories import CATEGORIES, CATEGORY_RULES, event_category, keyword_category
+from webmart.functions.params import event_param
+from webmart.schemas import EVENTS
+from webmart.settings import MartSettings
+
+PREFIX = MartSettings().site_prefix
+
+
+def apply(spark, kind, values, build):
+    """Results of an expression over one column of values, in their order."""
+    frame = spark.createDataFrame([(place, value) for place, value in enumerate(values)], f"place int, x {kind}")
+    rows = frame.withColumn("y", build()).orderBy("place").collect()
+    return [row.y for row in rows]
+
+
+def check(spark, kind, pairs, build):
+    assert apply(spark, kind, [given for given, _ in pairs], build) == [wanted for _, wanted in pairs]
+
+
+def test_event_path(spark):
+    pairs = [
+        (None, "/"),
+        ("", "/"),
+        ("not-a-url", "/"),
+        ("https://h", "/"),
+        ("https://h/", "/"),
+        (" HTTPS://H/A//?q#f ", "/a"),
+        ("\t https://h/a/  　", "/a"),
+        ("https://h?x=/a/b", "/a/b"),
+        ("https://h/a;p", "/a;p"),
+        ("ftp://h/p", "/"),
+        ("https://h//a", "//a"),
+    ]
+    check(spark, "string", pairs, lambda: paths.event_path(F.col("x")))
+
+
+def test_keyword_path(spark):
+    pairs = [
+        (None, "/"),
+        ("", "/"),
+        ("malformed_url", "malformed_url"),
+        ("https://h?x=/a/b", "/"),
+        ("https://h/a;p?x", "/a"),
+        ("https://h/a/;p", "/a"),
+        ("https://h/a;p/b", "/a;p/b"),
+        ("//h/p", "/p"),
+        ("https:///p", "/p"),
+        ("ftp://h/p", "/p"),
+        ("https://[h/p", "/"),
+        ("https://h]/p", "/"),
+        ("https://merch.google/shop/apparel/hoodies/", "/shop/apparel/hoodies"),
+        ("https://merch.google/shop/apparel/hoodies?utm=1", "/shop/apparel/hoodies"),
+    ]
+    check(spark, "string", pairs, lambda: paths.keyword_path(F.col("x")))
+
+
+def test_keyword_path_equals_the_standard_url_parser(spark):
+    from urllib.parse import urlparse
+
+    hosts = ["https://h", "HTTP://h.x", "//h", "", "https:", "mailto:h", "https://u@h:80"]
+    tails = ["", "/", "/a", "/a/", "/a//", "/a;p", "/a;p/b", "/a/b;p;q", "?q=/z", "/a?q", "#f", "/a#f/b", "/A/B.HTML", "a b"]
+    urls = [host + tail for host in hosts for tail in tails]
+    wanted = [urlparse(url.lower().strip()).path.rstrip("/") or "/" for url in urls]
+    got = apply(spark, "string", urls, lambda: paths.keyword_path(F.col("x")))
+    # The parser leaves ";params" in the path of schemes that it does not know to have any.
+    differing = [url for url, left, right in zip(urls, got, wanted, strict=True) if left != right]
+    assert all(";" in url and url.startswith("mailto:") for url in differing), differing
+
+
+def test_strip_prefix(spark):
+    pairs = [
+        ("/google+redesign", "/"),
+        ("/google+redesign/a", "/a"),
+        ("/google+redesignx/foo", "/google+redesignx/foo"),
+        ("/a/google+redesign/b", "/a/google+redesign/b"),
+        ("/", "/"),
+    ]
+    check(spark, "string", pairs, lambda: paths.strip_prefix(F.col("x"), PREFIX))
+
+
+def test_without_html(spark):
+    pairs = [("/a.html", "/a"), ("/a.html/b", "/a.html/b"), ("/ahtml", "/ahtml")]
+    check(spark, "string", pairs, lambda: paths.without_html(F.col("x")))
+
+
+def test_rule_table():
+    assert len(CATEGORY_RULES) == len(set(CATEGORIES)) == 28
+
+
+PATHS = [
+    ("/x/hoodie", "apparel/hoodies"),
+    ("/x/jacket", "apparel/jackets"),
+    ("/apparel/mens", "apparel/mens"),
+    ("/shop/apparel/headwear", "apparel/headgear"),
+    ("/x/backpack", "apparel/bags/backpacks"),
+    ("/shop/lifestyle/bags", "apparel/bags"),
+    ("/x/socks", "apparel/socks"),
+    ("/shop/apparel/accessories/x", "apparel/accessories"),
+    ("/apparel", "apparel"),
+    ("/apparel/cape", "apparel"),
+    ("/apparelx", None),
+    ("/x/mug", "lifestyle/drinkware"),
+    ("/x/towel", "lifestyle/home"),
+    ("/x/lanyard", "lifestyle/accessories"),
+    ("/lifestyle/x", "lifestyle"),
+    ("/brands/youtube", "brands/youtube"),
+    ("/x/android", "brands/android"),
+    ("/x/google+cloud", "brands/google-cloud"),
+    ("/x/gemini", "brands/gemini"),
+    ("/brands/x", "brands"),
+    ("/x/chrome-dino", "collections/chrome-dino"),
+    ("/x/emoji", "collections/emoji"),
+    ("/x/model+bike", "collections/google-bike"),
+    ("/x/campus", "collections/campus"),
+    ("/x/super.g", "collections/super-g"),
+    ("/shop/new", "new-arrivals"),
+    ("/shop/newer", None),
+    ("/shopping", "stationery"),
+    ("/what", "apparel/headgear"),
+    ("/checkout/x", "checkout"),
+    ("/catalogsearch", "search"),
+    ("/", "homepage"),
+    ("/x", None),
+    (None, None),
+]
+
+
+@pytest.mark.parametrize("category", [event_category, keyword_category])
+def test_categories(spark, category):
+    check(spark, "string", PATHS, lambda: category("x"))
+
+
+def test_categories_that_differ(spark):
+    given = ["/cape/cap", "/product/hoodie", "/apparel/apparel/hoodies-sweats.html", "/apparel/x-ab.html"]
+    assert apply(spark, "string", given, lambda: event_category("x")) == [
+        None,
+        "apparel/hoodies",
+        "apparel/hoodies",
+        "apparel",
+    ]
+    assert apply(spark, "string", given, lambda: keyword_category("x")) == ["apparel/headgear", None, None, "apparel"]
+
+
+def test_calendar(spark):
+    days = [date(2020, 11, 1), date(2021, 1, 1), date(2021, 1, 2), date(2021, 1, 3), date(2021, 1, 31)]
+    assert apply(spark, "date", days, lambda: sunday_week(F.col("x"))) == [44, 0, 0, 1, 5]
+    assert apply(spark, "date", days, lambda: is_weekend(F.col("x"))) == [True, False, True, True, True]
+
+
+def test_sunday_week_equals_strftime_for_forty_years(spark):
+    frame = spark.sql("SELECT explode(sequence(DATE'1990-01-01', DATE'2030-12-31')) AS d")
+    rows = frame.select("d", sunday_week(F.col("d")).alias("w")).collect()
+    assert all(row.w == int(row.d.strftime("%U")) for row in rows)
+
+
+def test_rank_bucket(spark):
+    given = [None, 0, 1, 3, 4, 10, 11, 20, 21, 50, 51]
+    labels_of = apply(spark, "bigint", given, lambda: labels.rank_bucket(F.col("x")))
+    assert [label[0] for label in labels_of] == list("66112233445")
+
+
+def test_device_group(spark):
+    pairs = [("MOBILE", "Mobile"), ("tablet", "Mobile"), ("desktop", "Desktop"), ("unknown", "Desktop"), (None, "Desktop")]
+    check(spark, "string", pairs, lambda: labels.device_group(F.col("x")))
+
+
+def test_channel_group(spark):
+    pairs = [
+        ("Organic", "organic search"),
+        ("PPC", "paid search"),
+        ("e-mail", "email"),
+        ("sm", "social"),
+        ("(none)", "direct"),
+        ("referral", "referral"),
+        ("affiliate", "other"),
+        (None, "other"),
+    ]
+    check(spark, "string", pairs, lambda: labels.channel_group(F.col("x")))
+
+
+def test_casts(spark):
+    whole = [("1.0", 1), ("7", 7), ("9007199254740993", 9007199254740993), ("1.5", None), ("abc", None), ("", None)]
+    check(spark, "string", [*whole, ("inf", None), (None, None)], lambda: casts.to_whole(F.col("x")))
+    check(spark, "string", [("1.5", 1.5), ("x", None), ("", None)], lambda: casts.to_number(F.col("x")))
+    check(spark, "string", [("2024-02-01", date(2024, 2, 1)), ("x", None)], lambda: casts.to_day(F.col("x")))
+    flags = [(" TRUE ", True), ("false", False), ("yes", None), (None, None)]
+    check(spark, "string", flags, lambda: casts.to_flag(F.col("x")))
+    check(spark, "double", [(2.5, 3), (1.499, 1), (-2.5, -3), (0.0, 0)], lambda: casts.rounded(F.col("x")))
+
+
+def test_event_param_takes_the_first_of_its_name(spark):
+    def one(key, whole=None, text=None):
+        return (key, (whole, text))
+
+    def event(params):
+        return ("u", "20240101", "page_view", 1, None, None, None, None, params)
+
+    params = [
+        [one("a", whole=1), one("b", text="x"), one("a", whole=2)],
+        [one("b", text="y")],
+        [],
+        None,
+        [one(None, whole=9), one("a", whole=3)],
+    ]
+    frame = spark.createDataFrame([event(list_) for list_ in params], EVENTS).coalesce(1)
+    rows = frame.select(event_param("a", "int_value").alias("a"), event_param("b", "string_value").alias("b")).collect()
+    assert [(row.a, row.b) for row in rows] == [(1, "x"), (None, "y"), (None, None), (None, None), (3, None)]
+
+
+def test_rates_of_an_empty_slice_are_null(spark):
+    frame = spark.createDataFrame([(None, True, 1, 2.5, 3, 4)], "session_id string, engaged_session boolean, purchases long, revenue double, session_duration_sec long, page_views long")
+    row = frame.agg(*kpis.session_sums()).select(*kpis.volume(), *kpis.rates(), kpis.avg_page_views()).first()
+    assert (row.sessions, row.engaged_sessions, row.conversions, row.revenue) == (0, 1, 1, 2.5)
+    assert (row.engagement_rate, row.conversion_rate, row.revenue_per_session, row.avg_page_views) == (None,) * 4

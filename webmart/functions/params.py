@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def event_param(key: str, field: str) -> Column:
     """Value of the first parameter named ``key``; NULL when the event has none.
 
-    Finds the place of the key and reads that element: unlike a lambda filter, this stays in generated code.
+    Finds the place of the key and reads the value there. Unlike a lambda filter this stays in generated code, and the
+    scan reads only keys and values of the asked type.
     """
     place = F.array_position(F.col("event_params.key"), key).cast("int") - 1
-    return F.get(F.col("event_params"), place)["value"][field]
+    return F.get(F.col(f"event_params.value.{field}"), place)

@@ -66,12 +66,14 @@ def read_export(spark: SparkSession, path: str, sep: str = ";", multiline: bool
         .option("encoding", "UTF-8")
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)  # a row's field count shows only when all of its fields are parsed
         .option("columnNameOfCorruptRecord", _BAD_ROW)
         .csv(path)
     )
-    unquoted = F.regexp_replace(F.col(f"`{_BAD_ROW}`"), r'"[^"]*"', "")
-    too_long = F.size(F.split(unquoted, F.lit(sep))) > len(names)
-    return rows.where(F.col(f"`{_BAD_ROW}`").isNull() | ~too_long).drop(_BAD_ROW)
+    # Spark refuses a plan that reads nothing but the kept row text, so the filter takes in a data column as well.
+    nothing = F.left(F.col("`" + names[0].replace("`", "``") + "`"), F.lit(0))
+    unquoted = F.regexp_replace(F.coalesce(_BAD_ROW, nothing, F.lit("")), r'"[^"]*"', "")
+    return rows.where(F.size(F.split(unquoted, F.lit(sep))) <= len(names)).drop(_BAD_ROW)
 
 
 def export_status(spark: SparkSession, paths: list[str]) -> DataFrame:
