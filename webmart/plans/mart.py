@@ -80,8 +80,8 @@ class Mart:
         return self.store.save("marts", "dim_page", self.pages_with_keywords)
 
     @cached_property
-    def dim_competitor(self) -> DataFrame:
-        return dimensions.dim_competitor(self.ranks, self.settings)
+    def dim_competitor(self) -> DataFrame | None:
+        return None if self.ranks is None else dimensions.dim_competitor(self.ranks, self.settings)
 
     @cached_property
     def fact_sessions(self) -> DataFrame:
