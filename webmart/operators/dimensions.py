@@ -86,19 +86,30 @@ def dim_competitor(ranks: DataFrame, settings: MartSettings) -> DataFrame:
     )
 
 
+def with_date(sessions: DataFrame, dates: DataFrame) -> DataFrame:
+    """Sessions with their calendar key; NULL outside the calendar."""
+    return sessions.join(dates.select("date_id"), F.col("session_date") == F.col("date_id"), "left")
+
+
+def with_channel_group(sessions: DataFrame, channels: DataFrame) -> DataFrame:
+    """Sessions with the group of their medium and source; unknown pairs are ``other``."""
+    group = F.coalesce("channel_group", F.lit(labels.OTHER_CHANNEL))
+    return sessions.join(channels, ["channel", "source"], "left").withColumn("channel_group", group)
+
+
+def with_page(sessions: DataFrame, pages: DataFrame) -> DataFrame:
+    """Sessions with the search attributes of their page."""
+    attributes = pages.select("page_path", "page_category", "organic_position", "has_seo_data")
+    return sessions.join(attributes, "page_path", "left")
+
+
 def fact_sessions(sessions: DataFrame, dates: DataFrame, channels: DataFrame, pages: DataFrame) -> DataFrame:
     """Sessions with their date, channel and page attributes; a session without a match keeps its row.
 
     No join is hinted: Spark broadcasts a dimension only when its size allows, and otherwise splits crowded keys
     of the sort-merge join at run time.
     """
-    on_date = dates.select(F.col("date_id"))
-    on_page = pages.select("page_path", "page_category", "organic_position", "has_seo_data")
-    joined = (
-        sessions.join(on_date, F.col("session_date") == F.col("date_id"), "left")
-        .join(channels, ["channel", "source"], "left")
-        .join(on_page, "page_path", "left")
-    )
+    joined = with_page(with_channel_group(with_date(sessions, dates), channels), pages)
     return joined.select(
         "session_id",
         "user_pseudo_id",
@@ -107,7 +118,7 @@ def fact_sessions(sessions: DataFrame, dates: DataFrame, channels: DataFrame, pa
         "date_id",
         "channel",
         "source",
-        F.coalesce("channel_group", F.lit(labels.OTHER_CHANNEL)).alias("channel_group"),
+        "channel_group",
         "device_category",
         "country",
         "page_path",

@@ -92,21 +92,27 @@ class Mart:
         return self.store.save("marts", "fact_sessions", self.fact_sessions, ("session_date",))
 
     def report(self, name: str, fact: DataFrame | None = None) -> DataFrame:
-        """One of :data:`REPORTS`, over the given fact or the one of this mart."""
-        fact = self.fact_sessions if fact is None else fact
+        """One of :data:`REPORTS`, over the given fact.
+
+        Without one, a report joins the saved sessions with those dimensions only that it reads, so that none waits
+        for a dimension it has no use for.
+        """
         if name == "rpt_sessions_enriched":
+            fact = self.fact_sessions if fact is None else fact
             return reporting.sessions_enriched(fact, self.dim_date, self.dim_page)
         if name == "rpt_channel_performance":
+            fact = dimensions.with_channel_group(self.sessions, self.dim_channel) if fact is None else fact
             return reporting.channel_performance(fact)
         if name == "rpt_seo_performance":
+            fact = dimensions.with_page(self.sessions, self.dim_page) if fact is None else fact
             return reporting.seo_performance(fact, self.dim_page)
         if name == "rpt_landing_page_performance":
-            return reporting.landing_page_performance(fact, self.dim_page)
+            return reporting.landing_page_performance(self.sessions if fact is None else fact, self.dim_page)
         raise KeyError(name)
 
     def channel_summary(self, fact: DataFrame | None = None) -> DataFrame:
-        fact = self.fact_sessions if fact is None else fact
-        return reporting.channel_summary(fact, self.dim_channel, self.settings)
+        """Period comparison over the given fact or, as it needs session columns only, over the saved sessions."""
+        return reporting.channel_summary(self.sessions if fact is None else fact, self.dim_channel, self.settings)
 
     def mart_counts(self) -> DataFrame:
         """Rows of each dimension and of the fact."""
@@ -147,6 +153,6 @@ def build_mart(
         )
     mart.fact_sessions = mart.saved_fact
     for name in REPORTS:
-        mart.report(name).createOrReplaceTempView(name)
-    mart.channel_summary().createOrReplaceTempView("v_channel_summary")
+        mart.report(name, mart.saved_fact).createOrReplaceTempView(name)
+    mart.channel_summary(mart.saved_fact).createOrReplaceTempView("v_channel_summary")
     return mart
