@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -131,9 +131,9 @@ def _brief(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/insights"
     report = reporting.brief_report(_brief(spark, sf_dir), _SETTINGS)
-    insights.append_insight_files(report, path, at=datetime(2024, 2, 1, 6))
+    insights.append_insight_files(report, path, at=datetime(2024, 2, 1, 6, tzinfo=timezone.utc))
     log = spark.read.parquet(path)
-    stamp = F.date_format("generated_at", "yyyy-MM-dd HH:mm:ss").alias("generated_at")
+    stamp = F.date_format(insights.utc(F.col("generated_at")), "yyyy-MM-dd HH:mm:ss").alias("generated_at")
     return log.select(stamp, "insight_type", "insight_text", "generated_date")
 
 

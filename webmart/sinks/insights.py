@@ -23,6 +23,11 @@ def create_insights_table(spark: SparkSession, table: str, location: str | None
     )
 
 
+def utc(moment: Column) -> Column:
+    """A moment as UTC wall-clock time, whatever the session's time zone."""
+    return F.to_utc_timestamp(moment, F.current_timezone())
+
+
 def _required(name: str) -> Column:
     missing = F.raise_error(F.lit(f"insight column {name} must not be NULL"))
     return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
@@ -35,7 +40,7 @@ def insight_rows(texts: DataFrame, kind: str = CHANNEL_INSIGHT, at: datetime | N
         now.alias("generated_at"), F.lit(kind).alias("insight_type"), "insight_text", now.alias("created_at")
     )
     checked = stamped.select(*[_required(field.name) for field in schemas.INSIGHTS])
-    return checked.withColumn("generated_date", F.to_date("generated_at"))
+    return checked.withColumn("generated_date", F.to_date(utc(F.col("generated_at"))))
 
 
 def append_insights(texts: DataFrame, table: str, kind: str = CHANNEL_INSIGHT, at: datetime | None = None) -> None:
