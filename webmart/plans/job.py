@@ -1,4 +1,4 @@
-"""Command-line build: ``spark-submit webmart/plans/job.py --events ... --exports ...``.
+"""Command-line build: ``spark-submit run_mart.py --events ... --exports ...``.
 
 Reads day-sharded or day-partitioned events and the keyword and rank exports, saves every table of the mart, logs the
 channel brief as an insight text and prints the load checks.
@@ -66,7 +66,3 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     quality.session_check(mart.sessions).show()
     mart.mart_counts().show()
     mart.report_counts().show(truncate=False)
-
-
-if __name__ == "__main__":
-    run(SparkSession.builder.appName("webmart").getOrCreate())
