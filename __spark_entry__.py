@@ -12,6 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+try:  # the training-data operators may be left out
+    from webmart.llm import queries as llm  # noqa: E402
+except ImportError:
+    llm = None
 from oracle.sql import statements  # noqa: E402
 from webmart.functions import paths  # noqa: E402
 from webmart.functions.categories import event_category  # noqa: E402
@@ -155,6 +159,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return mart_queries() | (llm.queries() if llm else {})
+
+
+def mart_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ga4_events_scan": _events_scan,
         "ga4_params": _extracted,
@@ -203,4 +211,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements()
+    return statements() | (llm.oracle_sql() if llm else {})
