@@ -23,6 +23,11 @@ def saved(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a schema string; needs a session, so not within tasks."""
+    return to_arrow_schema(_parse_datatype_string(ddl))
+
+
 def in_batches(
     frame: DataFrame, schema: str | StructType, start: Callable[[], Callable[[Columns], Columns]], rows: int = 512
 ) -> DataFrame:
@@ -33,8 +38,9 @@ def in_batches(
     if isinstance(schema, str):
         schema = _parse_datatype_string(schema)
 
+    arrow = to_arrow_schema(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(schema)
         apply = start()
         for batch in batches:
             for begin in range(0, batch.num_rows, rows):

@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from webmart.llm import pieces, secret_scan, simhash
+from pyspark.sql import functions as F
+
+from webmart.llm import (
+    language_id,
+    line_dedup,
+    mixing,
+    neighbours,
+    order_minhash,
+    pieces,
+    secret_scan,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +32,45 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(documents(spark, sf_dir))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.learn(docs))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_pairs(documents(spark, sf_dir))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.scan_secrets(documents(spark, sf_dir)))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(url_filter.dated_captures(pages), url_filter.drawn_entries(pages))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encoding_digests(documents(spark, sf_dir), model)
@@ -35,11 +78,18 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op2_language": op2_language,
+        "op3_toxicity": op3_toxicity,
         "op4_simhash": op4_simhash,
+        "op5_order_minhash": op5_order_minhash,
         "op6_secrets": op6_secrets,
+        "op7_mixing": op7_mixing,
+        "op8_neighbours": op8_neighbours,
+        "op9_url_filter": op9_url_filter,
         "op10_pieces": op10_pieces,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": mixing.mixture_sql(), "op9_url_filter": url_filter.judge_sql()}
