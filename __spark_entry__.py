@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 try:  # the training-data operators may be left out
+    import corpus_pipeline  # noqa: E402
     from webmart.llm import queries as llm  # noqa: E402
 except ImportError:
-    llm = None
+    corpus_pipeline = llm = None
 from oracle.sql import statements  # noqa: E402
 from webmart.functions import paths  # noqa: E402
 from webmart.functions.categories import event_category  # noqa: E402
@@ -159,7 +160,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return mart_queries() | (llm.queries() if llm else {})
+    return mart_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def mart_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
