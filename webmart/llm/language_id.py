@@ -134,8 +134,8 @@ class CrossParser:
     def _transitions(self, moves: list[dict[int, int]], begin: int) -> np.ndarray:
         """Next row times twice the width, plus 1 where a phrase ends before the character; END changes nothing.
 
-        Where a state has no transition the phrase ends, and the next one starts at the root with this character.
-        An unknown character is a phrase of its own.
+        Where a state has no transition the phrase ends, and the next one starts at the root with this character. An
+        unknown character is a phrase of its own, after which, as at the start of a text, any character starts a phrase.
         """
         width = self.width
         root = np.full(width, begin * 2 * width + 1, dtype=np.int64)
@@ -145,7 +145,7 @@ class CrossParser:
         for row, found in enumerate(moves):
             for symbol, state in found.items():
                 table[row, symbol] = (begin + state) * 2 * width
-        table[0, [symbol for symbol in range(width) if symbol not in moves[0]]] = begin * 2 * width + 1
+        table[0] = root
         table[:, _END] = (begin + np.arange(len(moves))) * 2 * width
         return table.astype(np.int32 if table.max() < 2**31 else np.int64).ravel()
 
@@ -180,7 +180,7 @@ class CrossParser:
             grid[:size, column] = classes[begin : begin + size]
         active = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")
         state = np.repeat(self.roots[:, None], len(begins), axis=1).astype(self.moves.dtype)
-        ended = np.ones_like(state)
+        ended = np.zeros_like(state)
         for step in range(longest):
             live = int(active[step])
             found = self.moves[(state[:, :live] >> 1) + grid[step, :live]]

@@ -18,6 +18,7 @@ scored but never learned from. The columns of documents pass through :func:`drop
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 
@@ -42,6 +43,10 @@ KEPT_WORDS = 300_000
 #: Words whose windows are scored together.
 TOGETHER = 100_000
 ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 256, 0.01
+#: Steps of each round at least; small samples are read more often.
+LEAST_STEPS = 40
+#: Words and n-grams of fewer sample documents say nothing of others; their embeddings stay zero.
+LEAST_DOCS = 3
 _WORD = re.compile(r"[^\W\d_]+")
 Weights = dict[str, np.ndarray]
 
@@ -76,6 +81,12 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (whole % np.uint64(WORD_ROWS)).astype(np.int32), np.concatenate(grams, axis=1)
 
 
+def _met_often(rows: np.ndarray, documents: np.ndarray, size: int) -> np.ndarray:
+    """Which rows of a table of this size occur in at least ``LEAST_DOCS`` documents."""
+    pairs = np.unique(rows.astype(np.int64) * (int(documents.max()) + 1) + documents)
+    return np.bincount(pairs // (int(documents.max()) + 1), minlength=size) >= LEAST_DOCS
+
+
 def new_weights(seed: int = 7) -> Weights:
     draw = np.random.default_rng(seed)
 
@@ -287,8 +298,8 @@ class Scorer:
         return scores
 
 class _Adam:
-    def __init__(self, weights: Weights):
-        self.weights, self.steps = weights, 0
+    def __init__(self, weights: Weights, frozen: Weights):
+        self.weights, self.frozen, self.steps = weights, frozen, 0
         self.mean = {name: np.zeros_like(value) for name, value in weights.items()}
         self.square = {name: np.zeros_like(value) for name, value in weights.items()}
 
@@ -296,6 +307,8 @@ class _Adam:
         self.steps += 1
         rate = RATE * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
         for name, grad in grads.items():
+            if name in self.frozen:
+                grad[self.frozen[name]] = 0
             self.mean[name] += 0.1 * (grad - self.mean[name])
             self.square[name] += 0.001 * (grad * grad - self.square[name])
             self.weights[name] -= rate * self.mean[name] / (np.sqrt(self.square[name]) + 1e-8)
@@ -323,7 +336,17 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None
     windows, owners = np.concatenate(windows), np.concatenate(owners)
     toxic = np.array([label for _, label in kept])[owners] == 1
     weights = new_weights(seed)
-    adam = _Adam(weights)
+    of_words = np.concatenate([np.full(len(words), k) for k, (words, _) in enumerate(kept)])
+    met = np.unique(np.array([vocabulary[w] for words, _ in kept for w in words]) * len(kept) + of_words)
+    word_of, document_of = met // len(kept), met % len(kept)
+    grams = char_rows[word_of]
+    rare = {
+        "word": ~_met_often(word_rows[word_of], document_of, WORD_ROWS),
+        "char": ~_met_often(grams[grams >= 0], np.repeat(document_of, (grams >= 0).sum(axis=1)), CHAR_ROWS),
+    }
+    for name, rows in rare.items():
+        weights[name][rows] = 0
+    adam = _Adam(weights, rare)
     chosen = np.flatnonzero(toxic)
     chosen = draw.permutation(chosen)[:20_000]
     others = draw.permutation(np.flatnonzero(~toxic))[: len(chosen)]
@@ -352,7 +375,7 @@ def _all_logits(weights: Weights, word_rows, char_rows, windows) -> np.ndarray:
 def _fit(weights, adam, word_rows, char_rows, windows, chosen, others, draw, epochs) -> None:
     rows = np.concatenate([chosen, others])
     labels = np.concatenate([np.ones(len(chosen)), np.zeros(len(others))]).astype(np.float32)
-    for _ in range(epochs):
+    for _ in range(max(epochs, math.ceil(LEAST_STEPS / math.ceil(len(rows) / BATCH)))):
         order = draw.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             part = order[begin : begin + BATCH]
