@@ -81,10 +81,13 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (whole % np.uint64(WORD_ROWS)).astype(np.int32), np.concatenate(grams, axis=1)
 
 
-def _met_often(rows: np.ndarray, documents: np.ndarray, size: int) -> np.ndarray:
-    """Which rows of a table of this size occur in at least ``LEAST_DOCS`` documents."""
-    pairs = np.unique(rows.astype(np.int64) * (int(documents.max()) + 1) + documents)
-    return np.bincount(pairs // (int(documents.max()) + 1), minlength=size) >= LEAST_DOCS
+def _in_few(rows_of: np.ndarray, documents: list[np.ndarray], size: int) -> np.ndarray:
+    """Which rows of a table of this size occur in fewer than ``LEAST_DOCS`` documents, given as words' places."""
+    met = np.zeros(size, dtype=np.int32)
+    for places in documents:
+        rows = np.unique(rows_of[places])
+        met[rows[rows >= 0]] += 1
+    return met < LEAST_DOCS
 
 
 def new_weights(seed: int = 7) -> Weights:
@@ -108,11 +111,15 @@ def new_weights(seed: int = 7) -> Weights:
 
 def _embed(weights: Weights, word_rows: np.ndarray, char_rows: np.ndarray) -> np.ndarray:
     """One input vector for each word."""
-    some = char_rows >= 0
-    many = some.sum(axis=1)
-    starts = np.concatenate([[0], np.cumsum(many)[:-1]])
-    sums = np.add.reduceat(weights["char"][char_rows[some]], starts, axis=0)  # every word has an n-gram
-    return weights["word"][word_rows] + sums / many[:, None].astype(np.float32)
+    means = np.empty((len(word_rows), EMBEDDING), np.float32)
+    for begin in range(0, len(word_rows), 8192):  # bounds the rows gathered at once
+        part = char_rows[begin : begin + 8192]
+        some = part >= 0
+        many = some.sum(axis=1)  # every word has an n-gram
+        starts = np.concatenate([[0], np.cumsum(many)[:-1]])
+        sums = np.add.reduceat(weights["char"][part[some]], starts, axis=0)
+        means[begin : begin + 8192] = sums / many[:, None].astype(np.float32)
+    return weights["word"][word_rows] + means
 
 
 def _gates(given: np.ndarray, state: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -316,18 +323,20 @@ class _Adam:
 
 def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None:
     """Weights learned from labelled texts; None without texts of both classes."""
-    kept = [(words, label) for words, label in ((words_of(t), y) for t, y in zip(texts, labels)) if words]
-    if len({label for _, label in kept}) < 2:
-        return None
     draw = np.random.default_rng(seed)
     vocabulary: dict[str, int] = {}
-    for words, _ in kept:
-        for word in words:
-            vocabulary.setdefault(word, len(vocabulary))
-    word_rows, char_rows = features(list(vocabulary))
+    kept = []
+    for text, label in zip(texts, labels):
+        if words := words_of(text):
+            places = [vocabulary.setdefault(word, len(vocabulary)) for word in words]
+            kept.append((np.array(places, dtype=np.int32), label))
+    if len({label for _, label in kept}) < 2:
+        return None
+    ordered = list(vocabulary)
+    pieces = [features(ordered[at : at + 20_000]) for at in range(0, len(ordered), 20_000)]
+    word_rows, char_rows = (np.concatenate(group) for group in zip(*pieces))
     windows, owners = [], []
-    for k, (words, _) in enumerate(kept):
-        rows = np.array([vocabulary[word] for word in words])
+    for k, (rows, _) in enumerate(kept):
         places = window_places(len(rows))
         if len(places) > SAMPLE_WINDOWS:
             places = places[np.sort(draw.choice(len(places), SAMPLE_WINDOWS, replace=False))]
@@ -336,14 +345,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None
     windows, owners = np.concatenate(windows), np.concatenate(owners)
     toxic = np.array([label for _, label in kept])[owners] == 1
     weights = new_weights(seed)
-    of_words = np.concatenate([np.full(len(words), k) for k, (words, _) in enumerate(kept)])
-    met = np.unique(np.array([vocabulary[w] for words, _ in kept for w in words]) * len(kept) + of_words)
-    word_of, document_of = met // len(kept), met % len(kept)
-    grams = char_rows[word_of]
-    rare = {
-        "word": ~_met_often(word_rows[word_of], document_of, WORD_ROWS),
-        "char": ~_met_often(grams[grams >= 0], np.repeat(document_of, (grams >= 0).sum(axis=1)), CHAR_ROWS),
-    }
+    documents = [np.unique(rows) for rows, _ in kept]
+    rare = {"word": _in_few(word_rows, documents, WORD_ROWS), "char": _in_few(char_rows, documents, CHAR_ROWS)}
     for name, rows in rare.items():
         weights[name][rows] = 0
     adam = _Adam(weights, rare)
