@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from webmart import schemas
 from webmart.operators import keywords
 from webmart.settings import DOMAINS, MartSettings
-from webmart.sinks import files
+from webmart.sinks import files, tables
 from webmart.sources import events, exports, sample
 
 
@@ -169,3 +169,39 @@ def test_event_readers_open_only_the_days_asked_for(spark, tmp_path, sf_dir):
     assert all("20240105" not in name for name in by_shard.inputFiles())
     assert {name.split("event_date=")[1][:8] for name in by_partition.inputFiles()} >= {"20240102"}
     assert "PartitionFilters: [isnotnull(event_date" in by_partition._jdf.queryExecution().executedPlan().toString()
+
+
+def _file(tmp_path, name, text):
+    (tmp_path / name).write_text(text, encoding="utf-8")
+    return str(tmp_path / name)
+
+
+def test_blank_lines_before_the_header_are_skipped(spark, tmp_path):
+    _file(tmp_path, "organic_keywords_a.csv", "\n\nKeyword;Url\nx;http://a/x\ny;http://a/y\n")
+    found = exports.read_keyword_exports(spark, str(tmp_path), {"a": "a.com"})
+    assert sorted(row.Keyword for row in found.collect()) == ["x", "y"]
+
+
+def test_separator_is_no_pattern(spark, tmp_path):
+    path = _file(tmp_path, "bars.csv", "a|b|c\n1|2|3\n4|5\n1|2|3|4\n")
+    assert sorted(map(tuple, exports.read_export(spark, path, sep="|").collect())) == [("1", "2", "3"), ("4", "5", None)]
+
+
+def test_refused_rank_files_are_skipped_and_long_rows_fail(spark, tmp_path):
+    _file(tmp_path, "domain_ranks_a.csv", "ERROR 50 :: NOTHING FOUND\n")
+    assert exports.read_rank_exports(spark, str(tmp_path)) is None
+    _file(tmp_path, "domain_ranks_b.csv", "Domain;Rank\nb.com;1\n")
+    assert exports.read_rank_exports(spark, str(tmp_path)).columns == ["Domain", "Rank"]
+    _file(tmp_path, "domain_ranks_c.csv", "Domain;Rank\nc.com;1;2\n")
+    with pytest.raises(Exception, match="more fields"):
+        exports.read_rank_exports(spark, str(tmp_path)).collect()
+
+
+def test_failed_rebuild_keeps_the_old_table(spark):
+    tables.write_table(spark.range(5), "kept_rows")
+    failing = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(failing, "kept_rows")
+    assert spark.table("kept_rows").count() == 5
+    assert tables.write_table(spark.range(7), "kept_rows").count() == 7
+    assert not spark.catalog.tableExists("kept_rows__new")

@@ -32,10 +32,8 @@ MOBILE_DEVICES = ("mobile", "tablet")
 
 def channel_group(medium: Column) -> Column:
     medium = F.lower(medium)
-    label = F
-    for group, media in CHANNEL_GROUPS.items():
-        label = label.when(medium.isin(*media), F.lit(group))
-    return label.otherwise(F.lit(OTHER_CHANNEL))
+    groups = [F.when(medium.isin(*media), F.lit(group)) for group, media in CHANNEL_GROUPS.items()]
+    return F.coalesce(*groups, F.lit(OTHER_CHANNEL))
 
 
 def device_group(category: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,15 +17,31 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
 def write_table(frame: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a Parquet table by the rows of a frame and read it back; running it again changes nothing.
 
-    For a partitioned table the rows are first gathered by partition value; Spark splits values that hold too many
+    The rows are first written beside the old table, so if computing them fails, the old rows stay. The new table then
+    takes the old one's name; a partitioned one is copied, as some catalogs keep the places of partitions when a table
+    is renamed, and should the copy fail, its source ``<name>__new`` stays. For a partitioned table the rows are first gathered by partition value; Spark splits values that hold too many
     rows for one task, so a crowded day does not end up in one file.
     """
+    spark = frame.sparkSession
     rows = frame.hint("rebalance", *partition_by) if partition_by else frame
-    writer = rows.write.format("parquet").mode("overwrite")
+    beside = f"{name[:-1]}__new`" if name.endswith("`") else f"{name}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    writer = rows.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return frame.sparkSession.table(name)
+    try:
+        writer.saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    if partition_by:
+        complete = spark.table(beside).hint("rebalance", *partition_by)
+        complete.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+        spark.sql(f"DROP TABLE {beside}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    return spark.table(name)
 
 
 def create_view(spark: SparkSession, name: str, query: str) -> None:
@@ -46,7 +63,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/webmart-{uuid.uuid4().hex}"
@@ -76,5 +93,6 @@ class ScratchStore:
 
     def save(self, layer: str, name: str, frame: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{self.root}/{layer}/{name}"
-        frame.write.parquet(path)
-        return frame.sparkSession.read.schema(frame.schema).parquet(path)
+        rows = frame.hint("rebalance", *partition_by) if partition_by else frame
+        rows.write.partitionBy(*partition_by).parquet(path)
+        return frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)

@@ -30,8 +30,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of an export; one task reads one line, whatever the size of the file."""
-    rows = spark.read.text(path).take(1)
+    """First line of an export that is not blank, as the reader skips blank lines before the header."""
+    rows = spark.read.text(path).where(F.trim("value") != "").take(1)
     return rows[0][0].lstrip("﻿") if rows else None
 
 
@@ -46,10 +46,13 @@ def column_names(header: str, sep: str = ";") -> list[str]:
     return names
 
 
-def read_export(spark: SparkSession, path: str, sep: str = ";", multiline: bool = False) -> DataFrame:
+def read_export(
+    spark: SparkSession, path: str, sep: str = ";", multiline: bool = False, strict: bool = False
+) -> DataFrame:
     """Rows of one export, all columns as text under the names of its header.
 
-    Short rows are padded with NULL and rows with more fields than the header are left out. Only an empty field is
+    Short rows are padded with NULL. Rows with more fields than the header are left out or, if ``strict``, end the
+    query with an error. Blank lines are skipped, also before the header. Only an empty field is
     NULL. ``multiline`` admits line breaks inside quoted fields; such a file cannot be split between tasks.
     """
     header = first_line(spark, path)
@@ -73,7 +76,11 @@ def read_export(spark: SparkSession, path: str, sep: str = ";", multiline: bool
     # Spark refuses a plan that reads nothing but the kept row text, so the filter takes in a data column as well.
     nothing = F.left(F.col("`" + names[0].replace("`", "``") + "`"), F.lit(0))
     unquoted = F.regexp_replace(F.coalesce(_BAD_ROW, nothing, F.lit("")), r'"[^"]*"', "")
-    return rows.where(F.size(F.split(unquoted, F.lit(sep))) <= len(names)).drop(_BAD_ROW)
+    fits = F.size(F.split(unquoted, F.lit(rf"\Q{sep}\E"))) <= len(names)
+    if strict:
+        refused = F.concat(F.lit(f"a row of {path} has more fields than its header: "), F.coalesce(_BAD_ROW, F.lit("")))
+        fits = F.when(fits, F.lit(True)).otherwise(F.raise_error(refused).cast("boolean"))
+    return rows.where(fits).drop(_BAD_ROW)
 
 
 def export_status(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -115,7 +122,10 @@ def read_keyword_exports(
 
 
 def read_rank_exports(spark: SparkSession, root: str) -> DataFrame | None:
-    """All ``domain_ranks_*.csv`` under ``root`` in one frame; None, with a warning, when there are none."""
+    """All ``domain_ranks_*.csv`` under ``root`` in one frame; None, with a warning, when there are none.
+
+    Empty and refused exports are skipped with a warning; a row with more fields than its header is an error.
+    """
     try:
         files = spark.read.format("binaryFile").load(f"{root}/domain_ranks_*.csv").select("path")
         paths = sorted(row.path for row in files.toLocalIterator())
@@ -123,7 +133,12 @@ def read_rank_exports(spark: SparkSession, root: str) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         paths = []
-    frames = [read_export(spark, path) for path in paths]
+    frames = []
+    for path in paths:
+        if (first_line(spark, path) or _ERROR_MARK).startswith(_ERROR_MARK):
+            log.warning("empty or refused export at %s, skipped", path)
+        else:
+            frames.append(read_export(spark, path, strict=True))
     if not frames:
         log.warning("no rank exports under %s, skipped", root)
         return None
