@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from webmart.sinks.tables import scratch_folder
 
 Columns = dict[str, list]
+_KEPT: dict[Hashable, Any] = {}
 
 
 def saved(frame: DataFrame) -> DataFrame:
@@ -53,6 +55,17 @@ def in_batches(
     return frame.mapInArrow(run, schema)
 
 
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept in this Python worker between tasks until a task asks for another key.
+
+    Spark gives one worker tasks of several operators in turn; only the model of the latest takes up memory.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def crc_fold(column: str = "doc_id", folds: int = 4) -> Column:
     """crc32 of a value's decimal text, modulo ``folds``; null for a null value."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

@@ -19,14 +19,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from webmart.llm.common import Columns, crc_fold, held_out, in_batches
+from webmart.llm.common import Columns, crc_fold, held_out, in_batches, kept
 
 SAMPLE_DOCS = 60
 SAMPLE_CHARS = 40_000
@@ -203,10 +202,9 @@ class CrossParser:
         return names, np.where(known, score, 0.0).tolist()
 
 
-@lru_cache(maxsize=1)
 def parser(samples: Samples) -> CrossParser:
-    """The automata of samples, built once in each Python worker."""
-    return CrossParser(samples)
+    """The automata of samples, kept in a Python worker between tasks."""
+    return kept(("language", samples), lambda: CrossParser(samples))
 
 
 def identify(docs: DataFrame, samples: Samples) -> DataFrame:

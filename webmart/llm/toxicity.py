@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from webmart.llm.common import Columns, crc_fold, held_out, in_batches
+from webmart.llm.common import Columns, crc_fold, held_out, in_batches, kept
 
 SAMPLE_TOXIC = 1200
 SAMPLE_CLEAN = 2000
@@ -39,7 +39,7 @@ EMBEDDING, HIDDEN, ATTENTION = 16, 8, 8
 #: Characters of a word that are read; n-grams of these sizes.
 WORD_CHARS, GRAMS = 16, (2, 3, 4)
 #: Words whose inputs a Python worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: Words whose windows are scored together.
 TOGETHER = 100_000
 ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 256, 0.01
@@ -403,16 +403,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Weights | None:
     return train([row.text for row in rows], [row.label for row in rows])
 
 
-_SCORERS: dict[bytes, Scorer] = {}
-
-
 def _scorer(weights: Weights) -> Scorer:
     """The scorer of these weights, kept in a Python worker between tasks."""
-    key = weights["out"].tobytes() + weights["base"].tobytes()
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(weights)
-    return _SCORERS[key]
+    return kept(("toxicity", weights["out"].tobytes(), weights["base"].tobytes()), lambda: Scorer(weights))
 
 
 def _score_all(weights: Weights | None, texts: list[str | None]) -> list[float]:
