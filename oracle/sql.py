@@ -7,7 +7,6 @@ The statements are put together from shared WITH parts. Wherever the engines dif
 from __future__ import annotations
 
 from webmart.functions.categories import CATEGORY_RULES
-from webmart.functions.labels import CHANNEL_GROUPS
 from webmart.functions.paths import WHITE_SPACE
 from webmart.operators.quality import NO_CATEGORY
 from webmart.sources import sample
@@ -67,11 +66,13 @@ def keyword_category(path: str) -> str:
 
 
 def channel_group(medium: str) -> str:
-    arms = [
-        f"WHEN lower({medium}) IN ({', '.join(_text(name) for name in media)}) THEN '{group}'"
-        for group, media in CHANNEL_GROUPS.items()
-    ]
-    return "CASE " + " ".join(arms) + " ELSE 'other' END"
+    return (
+        f"CASE lower({medium}) WHEN 'organic' THEN 'organic search' WHEN 'cpc' THEN 'paid search' WHEN 'ppc' THEN "
+        "'paid search' WHEN 'paid' THEN 'paid search' WHEN 'paidsearch' THEN 'paid search' WHEN 'email' THEN 'email' "
+        "WHEN 'e-mail' THEN 'email' WHEN 'newsletter' THEN 'email' WHEN 'social' THEN 'social' WHEN 'social-network' "
+        "THEN 'social' WHEN 'social-media' THEN 'social' WHEN 'sm' THEN 'social' WHEN '(none)' THEN 'direct' WHEN "
+        "'direct' THEN 'direct' WHEN 'referral' THEN 'referral' ELSE 'other' END"
+    )
 
 
 def rank_bucket(position: str) -> str:
@@ -83,7 +84,7 @@ def rank_bucket(position: str) -> str:
 
 
 def _money(amount: str) -> str:
-    return f"CAST(sum(CAST({amount} AS DECIMAL(38,6))) AS DOUBLE)"
+    return f"CAST(sum(CAST({amount} AS DECIMAL(38,9))) AS DOUBLE)"
 
 
 def _days(period: tuple) -> str:

@@ -1,5 +1,6 @@
 """Column expressions on literal values."""
 
+import math
 from datetime import date
 
 import pytest
@@ -221,3 +222,21 @@ def test_rates_of_an_empty_slice_are_null(spark):
     row = frame.agg(*kpis.session_sums()).select(*kpis.volume(), *kpis.rates(), kpis.avg_page_views()).first()
     assert (row.sessions, row.engaged_sessions, row.conversions, row.revenue) == (0, 1, 1, 2.5)
     assert (row.engagement_rate, row.conversion_rate, row.revenue_per_session, row.avg_page_views) == (None,) * 4
+
+
+@pytest.mark.parametrize(
+    ("amounts", "total"),
+    [
+        ([1e-7] * 1000, 1e-4),
+        ([0.1] * 10, 1.0),
+        ([1e33, 2.5], 1e33),
+        ([1e12, 0.25], 1e12 + 0.25),
+        ([float("inf"), 1.0], float("inf")),
+        ([None, 2.0], 2.0),
+        ([None], None),
+    ],
+)
+def test_amounts_add_up_without_a_cut(spark, amounts, total):
+    frame = spark.createDataFrame([(amount,) for amount in amounts], "amount double")
+    assert frame.agg(casts.exact_sum(F.col("amount"))).first()[0] == total
+    assert math.isnan(frame.agg(casts.exact_sum(F.lit(float("nan")))).first()[0])

@@ -16,7 +16,8 @@ def test_job(spark, sf_dir, tmp_path, capsys):
         files.write_csv(own, f"{folder}/{source}_keywords_merch_google.csv", sep=";")
     files.write_csv(sample.rank_exports(spark, sf_dir), f"{folder}/domain_ranks_all.csv", sep=";")
     options = "--shards --days 20240101 20240130 --current 2024-01-16 2024-01-30 --previous 2024-01-01 2024-01-15"
-    places = ["--events", shards, "--exports", folder, "--staging", "j_staging", "--marts", "j_marts"]
+    places = ["--events", shards, "--exports", folder, "--staging", "j_staging", "--marts", "j_marts", "--reporting", "j_reports"]
+    places += ["--calendar", "2024-01-01", "2024-01-10", "--snapshot-date", "2024-02-03", "--domains", "merch_google=merch.google"]
     job.run(spark, [*places, *options.split()])
     text = capsys.readouterr().out
     assert "rpt_landing_page_performance" in text and "sessions_with_purchases" in text
@@ -27,6 +28,11 @@ def test_job(spark, sf_dir, tmp_path, capsys):
         "2024-01-21",
     }
     assert spark.table("j_marts.fact_sessions").count() == sessions.count() > 0
+    other = spark.newSession()
+    assert other.table("j_reports.rpt_sessions_enriched").count() == sessions.count()
+    assert other.table("j_reports.v_channel_summary").count() > 0
+    assert spark.table("j_marts.dim_date").count() == 10
+    assert spark.table("j_staging.domain_ranks").where("snapshot_date <> DATE '2024-02-03'").isEmpty()
     assert spark.table("j_marts.dim_competitor").where("is_target").count() == 1
     log = spark.table("j_marts.ai_insights").collect()
     assert len(log) == 1 and log[0].insight_text.startswith("Channel Performance Summary (2024-01-16 to 2024-01-30):")

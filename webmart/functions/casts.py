@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from webmart.functions.paths import strip_space
 
-MONEY = "decimal(38,6)"
+# Amounts below the first bound add up exactly to 15 decimals, those below the second to 2.
+_SMALL, _FINE = 1e9, "decimal(27,15)"
+_LARGE, _COARSE = 1e25, "decimal(28,2)"
 
 
 def to_whole(text: Column) -> Column:
@@ -40,6 +42,26 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
+def amount_sums(amount: Column) -> list[Column]:
+    """Sums of doubles by size, which can be added up again and put together with :func:`added`.
+
+    Amounts below 1e25 are summed as decimals, so the order of the rows, hence the partitioning, does not matter. Larger
+    ones, infinities and NaN stay doubles: they show in the total instead of vanishing from it.
+    """
+    size = F.abs(amount)
+    return [
+        F.sum(F.when(size < _SMALL, amount.try_cast(_FINE))),
+        F.sum(F.when((size >= _SMALL) & (size < _LARGE), amount.try_cast(_COARSE))),
+        F.sum(F.when(size >= _LARGE, amount)),
+    ]
+
+
+def added(sums: list[Column]) -> Column:
+    """The total of :func:`amount_sums`; NULL where there was no amount."""
+    parts = [part.cast("double") for part in sums]
+    fine, coarse, rest = (F.coalesce(part, F.lit(0.0)) for part in parts)
+    return F.when(F.coalesce(*parts).isNotNull(), fine + coarse + rest)
+
+
 def exact_sum(amount: Column) -> Column:
-    """Sum of doubles that does not depend on the order of the rows, hence not on the partitioning."""
-    return F.sum(amount.cast(MONEY)).cast("double")
+    return added(amount_sums(amount))

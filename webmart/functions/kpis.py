@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webmart.functions.casts import MONEY
+from webmart.functions.casts import added, amount_sums
 
+_REVENUE = ("revenue_fine", "revenue_coarse", "revenue_rest")
 # Sums that can be added up again, so that a report may aggregate twice.
-SUMS = ("sessions", "engaged_sessions", "conversions", "revenue_sum", "duration_sum", "page_views_sum")
+SUMS = ("sessions", "engaged_sessions", "conversions", *_REVENUE, "duration_sum", "page_views_sum")
 
 
 def session_sums() -> list[Column]:
@@ -17,7 +18,7 @@ def session_sums() -> list[Column]:
         F.count("session_id").alias("sessions"),
         F.count_if("engaged_session").alias("engaged_sessions"),
         F.count_if(F.col("purchases") > 0).alias("conversions"),
-        F.sum(F.col("revenue").cast(MONEY)).alias("revenue_sum"),
+        *[part.alias(name) for name, part in zip(_REVENUE, amount_sums(F.col("revenue")), strict=True)],
         F.sum("session_duration_sec").alias("duration_sum"),
         F.sum("page_views").alias("page_views_sum"),
     ]
@@ -28,12 +29,16 @@ def sums_again() -> list[Column]:
     return [F.sum(name).alias(name) for name in SUMS]
 
 
+def _revenue() -> Column:
+    return added([F.col(name) for name in _REVENUE])
+
+
 def volume() -> list[Column]:
     return [
         F.col("sessions"),
         F.col("engaged_sessions"),
         F.col("conversions"),
-        F.col("revenue_sum").cast("double").alias("revenue"),
+        _revenue().alias("revenue"),
     ]
 
 
@@ -45,7 +50,7 @@ def rates() -> list[Column]:
     return [
         _per_session(F.col("engaged_sessions"), "engagement_rate"),
         _per_session(F.col("conversions"), "conversion_rate"),
-        _per_session(F.col("revenue_sum"), "revenue_per_session"),
+        _per_session(_revenue(), "revenue_per_session"),
     ]
 
 

@@ -12,10 +12,14 @@ from webmart.settings import MartSettings
 
 
 def sessions_enriched(fact: DataFrame, dates: DataFrame, pages: DataFrame) -> DataFrame:
-    """The fact with calendar, device group, keyword and rank bucket: one row per session."""
+    """The fact, or sessions with their channel group, with calendar, device group, page and rank bucket.
+
+    One row per session. Each dimension is joined once; page columns that the rows already have are kept.
+    """
     on_date = dates.select("date_id", "year", "month", "month_name", "week_of_year", "day_name", "is_weekend")
-    on_page = pages.select("page_path", "top_keyword", "search_volume")
-    return fact.join(on_date, "date_id", "left").join(on_page, "page_path", "left").select(
+    on_page = pages.select("page_path", *[name for name in pages.columns if name not in fact.columns])
+    dated = fact.drop("date_id").join(on_date, F.col("session_date") == F.col("date_id"), "left")
+    return dated.join(on_page, "page_path", "left").select(
         "session_id",
         "user_pseudo_id",
         "ga_session_id",

@@ -27,6 +27,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--exports", required=True, help="folder of the keyword and rank exports")
     parser.add_argument("--staging", default="staging", help="schema for staging tables")
     parser.add_argument("--marts", default="marts", help="schema for dimensions, fact and insight log")
+    parser.add_argument("--reporting", default="reporting", help="schema for the saved reports")
+    parser.add_argument("--target-domain", default=defaults.target_domain)
+    parser.add_argument("--site-prefix", default=defaults.site_prefix)
+    parser.add_argument("--domains", nargs="+", metavar="key=domain", help="tracked domains by their export file key")
+    parser.add_argument("--snapshot-date", type=date.fromisoformat, metavar="yyyy-MM-dd", help="default: today")
+    parser.add_argument("--calendar", nargs=2, type=date.fromisoformat, metavar="yyyy-MM-dd", help="default: the days")
+    parser.add_argument("--keep-empty-text", action="store_true")
+    parser.add_argument("--normalize-landing", action="store_true")
     parser.add_argument("--days", nargs=2, default=defaults.event_days, metavar="yyyyMMdd")
     for name in ("current", "previous"):
         period = getattr(defaults, f"{name}_period")
@@ -37,11 +45,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     given = _arguments(argv)
     first, last = given.days
+    days = [datetime.strptime(day, "%Y%m%d").date() for day in (first, last)]
+    tracked = {"domains": dict(pair.split("=", 1) for pair in given.domains)} if given.domains else {}
     settings = MartSettings(
+        target_domain=given.target_domain,
+        site_prefix=given.site_prefix,
+        snapshot_date=given.snapshot_date,
+        keep_empty_text=given.keep_empty_text,
+        normalize_landing=given.normalize_landing,
         event_days=(first, last),
-        calendar=tuple(datetime.strptime(day, "%Y%m%d").date() for day in (first, last)),
+        calendar=tuple(given.calendar or days),
         current_period=tuple(given.current),
         previous_period=tuple(given.previous),
+        **tracked,
     )
     read = events.read_event_shards if given.shards else events.read_events
     exported = exports.read_keyword_exports(spark, given.exports, settings.domains)
@@ -53,6 +69,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         settings,
         given.staging,
         given.marts,
+        given.reporting,
     )
     log = f"`{given.marts}`.`ai_insights`"
     insights.create_insights_table(spark, log)

@@ -98,7 +98,7 @@ class Mart:
         for a dimension it has no use for.
         """
         if name == "rpt_sessions_enriched":
-            fact = self.fact_sessions if fact is None else fact
+            fact = dimensions.with_channel_group(self.sessions, self.dim_channel) if fact is None else fact
             return reporting.sessions_enriched(fact, self.dim_date, self.dim_page)
         if name == "rpt_channel_performance":
             fact = dimensions.with_channel_group(self.sessions, self.dim_channel) if fact is None else fact
@@ -137,13 +137,15 @@ def build_mart(
     settings: MartSettings,
     staging: str = "staging",
     marts: str = "marts",
+    reporting_schema: str = "reporting",
 ) -> Mart:
     """Build and save every table of the mart in catalog schemas; running it again replaces them.
 
-    Reports are registered as temporary views ``rpt_*`` and ``v_channel_summary`` of the session.
+    Reports ``rpt_*`` and ``v_channel_summary`` are saved too, in a schema of their own, so that other sessions can
+    read them; the building session also has them as temporary views under their bare names.
     """
     spark = events.sparkSession
-    store = CatalogStore(spark, staging, marts)
+    store = CatalogStore(spark, staging, marts, reporting_schema)
     kept_ranks = None if ranks is None else store.save("staging", "domain_ranks", ranks)
     mart = Mart(events, loaded_keywords, kept_ranks, settings, store)
     mart.dim_date = store.save("marts", "dim_date", dimensions.dim_date(spark, *settings.calendar))
@@ -153,6 +155,10 @@ def build_mart(
         )
     mart.fact_sessions = mart.saved_fact
     for name in REPORTS:
-        mart.report(name, mart.saved_fact).createOrReplaceTempView(name)
-    mart.channel_summary(mart.saved_fact).createOrReplaceTempView("v_channel_summary")
+        report = mart.report(name, mart.saved_fact)
+        report.createOrReplaceTempView(name)
+        store.save("reporting", name, report)
+    summary = mart.channel_summary(mart.saved_fact)
+    summary.createOrReplaceTempView("v_channel_summary")
+    store.save("reporting", "v_channel_summary", summary)
     return mart

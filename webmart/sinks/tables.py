@@ -72,8 +72,8 @@ def scratch_folder(spark: SparkSession) -> str:
 class CatalogStore:
     """Keeps the tables of a build in catalog schemas."""
 
-    def __init__(self, spark: SparkSession, staging: str = "staging", marts: str = "marts"):
-        self.schemas = {"staging": staging, "marts": marts}
+    def __init__(self, spark: SparkSession, staging: str = "staging", marts: str = "marts", reporting: str = "reporting"):
+        self.schemas = {"staging": staging, "marts": marts, "reporting": reporting}
         for schema in self.schemas.values():
             ensure_schema(spark, schema)
 
