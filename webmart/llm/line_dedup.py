@@ -1,12 +1,19 @@
-"""Substring dedup by line hashing.
+"""Substring dedup by hashing lines and the passages within them.
 
 Each line of at least ``least`` words is normalised (lower case, single spaces) and hashed to 128 bits. Occurrences are
 ranked by doc_id and place; the first keeps its text and every later one is removed, wherever it stands. Digests are
 counted before they are shuffled, so a line that a third of all documents share sends one row per task, and only digests
 that occur again are joined with their occurrences, by a join that Spark splits where one digest is crowded.
 
+Lines are hashed a second time in sentence-sized units (``passage_units``), ranked in the same way, so that a passage
+inside a longer line is found too. A sentence of over ``LONG_WORDS`` words is cut between two words chosen by the hash of
+both, so that copies are cut alike wherever they stand. A unit of fewer than ``LEAST_WORDS`` words counts as repeated only
+together with a neighbour. Passages are found by their whole units: parts of sentences at both ends of a copy stay.
+
 Offsets are code points in the original text, ends exclusive: ``removed`` lists the lines taken out, ``kept`` what is
 left, and ``text`` is the kept stretches one after the other. A removed line takes the line end after it along.
+``repeated`` lists all repeated units, touching ones as one span, and with them all of ``removed``; ``unique_text`` is the
+original text without them, in which a line that is repeated throughout takes its line end along.
 Null text stays null with no spans; an empty text has none. Rows with the same doc_id and text are one document, each
 repeating its result. Rows without doc_id rank last. Other columns are ignored.
 """
@@ -14,6 +21,7 @@ repeating its result. Rows without doc_id rank last. Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -22,55 +30,118 @@ from pyspark.sql import functions as F
 from webmart.llm.common import Columns, in_batches, saved
 
 LEAST_WORDS = 5
+#: Sentences of more words are cut further, one place in ``CUT`` on average.
+LONG_WORDS = 32
+CUT = 12
 _LINE = re.compile(r"[^\n]+")
+_SENTENCE = re.compile(r".+?(?:[.!?…]+[\"')\]»”’]*(?=\s|\Z)|[。！？]+[」』”’]*|\Z)\s*")
+_WORD = re.compile(r"\S+")
 SPANS = "array<struct<start: int, end: int>>"
 
 
+def _digest(text: str, seed: int = 0) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(text.lower().split()).encode("utf-8"), seed)
+
+
 def line_units(text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
     """(start, end, digest) of the lines with enough words."""
+    return [(m.start(), m.end(), _digest(m[0])) for m in _LINE.finditer(text or "") if len(m[0].split()) >= least]
+
+
+def _pieces(line: str) -> Iterator[tuple[int, int]]:
+    """(end, number of words) of the sentences of a line, long ones cut further."""
+    for sentence in _SENTENCE.finditer(line):
+        n = len(sentence[0].split())
+        if n > LONG_WORDS:
+            n, before = 0, ""
+            for match in _WORD.finditer(line, sentence.start(), sentence.end()):
+                word = match[0].lower()
+                if n and xxhash.xxh3_64_intdigest(f"{before} {word}".encode("utf-8")) % CUT == 0:
+                    yield match.start(), n
+                    n = 0
+                n, before = n + 1, word
+        yield sentence.end(), n
+
+
+def passage_units(text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
+    """(start, end, digest) of the sentence-sized units of each line; digests differ from those of lines.
+
+    Units with fewer words have two digests, one with the unit before and one with the unit after.
+    """
     found = []
     for match in _LINE.finditer(text or ""):
-        words = match[0].lower().split()
-        if len(words) >= least:
-            found.append((match.start(), match.end(), xxhash.xxh3_128_digest(" ".join(words).encode("utf-8"))))
+        line, at = match[0], match.start()
+        pieces, begin = [], 0
+        for end, n in _pieces(line):
+            if n:
+                pieces.append((begin, end, n))
+                begin = end
+        for i, (begin, end, n) in enumerate(pieces):
+            if n >= least:
+                found.append((at + begin, at + end, _digest(line[begin:end], 1)))
+                continue
+            if i:
+                found.append((at + begin, at + end, _digest(line[pieces[i - 1][0] : end], 2)))
+            if i + 1 < len(pieces):
+                found.append((at + begin, at + end, _digest(line[begin : pieces[i + 1][1]], 3)))
     return found
 
 
+def cut_out(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the spans, and the spans, touching ones as one; whole lines take their line end along."""
+    merged: list[tuple[int, int]] = []
+    for start, end in spans:
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    left, at = [], 0
+    for start, end in merged:
+        left.append(text[at:start])
+        whole = (start == 0 or text[start - 1] == "\n") and text[end : end + 1] == "\n"
+        at = end + whole
+    return "".join(left) + text[at:], merged
+
+
 def units(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """One row for each line with enough words: doc_id, text_hash, start, end, digest."""
+    """One row for each line with enough words and each unit within lines: doc_id, text_hash, inner, start, end, digest."""
 
     def start():
         def apply(columns: Columns) -> Columns:
             rows = [
-                (doc_id, text_hash, *unit)
+                (doc_id, text_hash, inner, *unit)
                 for doc_id, text_hash, text in zip(columns["doc_id"], columns["text_hash"], columns["text"])
-                for unit in line_units(text, least)
+                for inner, found in ((False, line_units(text, least)), (True, passage_units(text)))
+                for unit in found
             ]
-            names = ("doc_id", "text_hash", "start", "end", "digest")
+            names = ("doc_id", "text_hash", "inner", "start", "end", "digest")
             return dict(zip(names, map(list, zip(*rows)))) if rows else {name: [] for name in names}
 
         return apply
 
-    schema = "doc_id long, text_hash long, start int, end int, digest binary"
+    schema = "doc_id long, text_hash long, inner boolean, start int, end int, digest binary"
     return in_batches(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), schema, start)
 
 
 def repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """Per document with lines that occurred before: doc_id, text_hash, and their spans by start."""
+    """Per document with text that occurred before: doc_id, text_hash, spans by start of lines and of units within lines."""
     found = saved(units(docs, least))
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "start")
     first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = found.withColumn("rank", rank).join(first, "digest").where(F.col("rank") != F.col("first"))
-    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
-    return later.groupBy("doc_id", "text_hash").agg(spans.alias("removed"))
+    lines, inner = (F.collect_set(F.when(F.col("inner") == kind, F.struct("start", "end"))) for kind in (False, True))
+    return later.groupBy("doc_id", "text_hash").agg(
+        F.array_sort(lines).alias("removed"), F.array_sort(inner).alias("repeated")
+    )
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """Per row: doc_id, text without repeated lines, n_removed, and the spans removed and kept."""
+    """Per row: doc_id, text without repeated lines, n_removed, and the spans removed and kept; then the spans of all
+    repeated text, and the text without it."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).alias("d")
     found = repeats(docs, least).alias("r")
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_hash") == F.col("r.text_hash"))
-    marked = rows.join(found, same, "left").select("d.doc_id", "d.text", "r.removed")
+    marked = rows.join(found, same, "left").select("d.doc_id", "d.text", "r.removed", "r.repeated")
 
     def start():
         def apply(columns: Columns) -> Columns:
@@ -86,14 +157,23 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
                 kept.append([{"start": a, "end": b} for a, b in left])
                 texts.append(text if not spans else "".join(text[a:b] for a, b in left))
             removed = [spans or [] for spans in columns["removed"]]
+            repeated, unique = [], []
+            for text, lines, inner in zip(columns["text"], removed, columns["repeated"]):
+                spans = sorted((span["start"], span["end"]) for span in [*lines, *(inner or ())])
+                rest, spans = cut_out(text, spans) if spans else (text, [])
+                repeated.append([{"start": a, "end": b} for a, b in spans])
+                unique.append(rest)
             return {
                 "doc_id": columns["doc_id"],
                 "text": texts,
                 "n_removed": [len(spans) for spans in removed],
                 "removed": removed,
                 "kept": kept,
+                "repeated": repeated,
+                "unique_text": unique,
             }
 
         return apply
 
-    return in_batches(marked, f"doc_id long, text string, n_removed int, removed {SPANS}, kept {SPANS}", start)
+    schema = f"doc_id long, text string, n_removed int, removed {SPANS}, kept {SPANS}"
+    return in_batches(marked, f"{schema}, repeated {SPANS}, unique_text string", start)
