@@ -50,3 +50,21 @@ def test_repeated_lines_are_repeated_text(documents):
         at = {i for s in row.repeated for i in range(s.start, s.end)}
         assert all(at.issuperset(range(s.start, s.end)) for s in row.removed)
         assert len(row.unique_text) <= len(row.text) <= len(texts[row.doc_id])
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    han = "".join(map(chr, range(0x4E00, 0x4E00 + 400)))
+    copied = han[100:200]
+    texts = {
+        1: f"Home\n{han}\nOne. Two.\n-",
+        2: f"A line of its own.\nhome\n{han}\nOne. Two.\n-\nend",
+        3: f"{han[300:]}{copied}{han[:60]}\nOne. Three.",
+        4: "HOME",
+    }
+    rows = found(spark, list(texts.items()))
+    assert rows[1].unique_text == texts[1]
+    assert rows[2].unique_text == "A line of its own.\nend"
+    assert rows[4].unique_text == ""
+    spans = [texts[3][s.start : s.end] for s in rows[3].repeated]
+    assert sum(len(span) for span in spans if span in copied) >= 50
+    assert rows[3].unique_text.endswith("\nOne. Three.")

@@ -1,14 +1,16 @@
 """Substring dedup by hashing lines and the passages within them.
 
-Each line of at least ``least`` words is normalised (lower case, single spaces) and hashed to 128 bits. Occurrences are
-ranked by doc_id and place; the first keeps its text and every later one is removed, wherever it stands. Digests are
-counted before they are shuffled, so a line that a third of all documents share sends one row per task, and only digests
-that occur again are joined with their occurrences, by a join that Spark splits where one digest is crowded.
+Each line of at least ``least`` words is normalised (lower case, single spaces) and hashed to 96 bits. Occurrences are
+ranked by doc_id and place; the first keeps its text and every later one is removed, wherever it stands. A first pass
+counts 64 bits of each digest, before and after the shuffle, so a line that a third of all documents share sends one row
+per task. A second pass hashes again and keeps the occurrences of the digests that the first pass met twice, by a join
+that Spark splits where one digest is crowded; only these are saved, ranked and joined by all 96 bits.
 
 Lines are hashed a second time in sentence-sized units (``passage_units``), ranked in the same way, so that a passage
 inside a longer line is found too. A sentence of over ``LONG_WORDS`` words is cut between two words chosen by the hash of
-both, so that copies are cut alike wherever they stand. A unit of fewer than ``LEAST_WORDS`` words counts as repeated only
-together with a neighbour. Passages are found by their whole units: parts of sentences at both ends of a copy stay.
+both, so that copies are cut alike wherever they stand. Each letter of a script without spaces counts as a word here. A
+unit of fewer than ``LEAST_WORDS`` words counts as repeated only together with a neighbour in its line; if it is the whole
+line, it counts alone: these units have no floor. Passages are found by their whole units: parts of sentences at both ends of a copy stay.
 
 Offsets are code points in the original text, ends exclusive: ``removed`` lists the lines taken out, ``kept`` what is
 left, and ``text`` is the kept stretches one after the other. A removed line takes the line end after it along.
@@ -21,6 +23,7 @@ repeating its result. Rows without doc_id rank last. Other columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import xxhash
@@ -35,55 +38,66 @@ LONG_WORDS = 32
 CUT = 12
 _LINE = re.compile(r"[^\n]+")
 _SENTENCE = re.compile(r".+?(?:[.!?…]+[\"')\]»”’]*(?=\s|\Z)|[。！？]+[」』”’]*|\Z)\s*")
-_WORD = re.compile(r"\S+")
+#: Letters of scripts written without spaces (Thai to Khmer, kana, Han); each counts as a word.
+_LETTERS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_LETTERS}]")
+_WORD = re.compile(rf"[{_LETTERS}]|[^\s{_LETTERS}]+")
 SPANS = "array<struct<start: int, end: int>>"
 
 
-def _digest(text: str, seed: int = 0) -> bytes:
-    return xxhash.xxh3_128_digest(" ".join(text.lower().split()).encode("utf-8"), seed)
+def _digest(words: str, seed: int = 0) -> bytes:
+    return xxhash.xxh3_128_digest(words.encode("utf-8"), seed)
 
 
 def line_units(text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
     """(start, end, digest) of the lines with enough words."""
-    return [(m.start(), m.end(), _digest(m[0])) for m in _LINE.finditer(text or "") if len(m[0].split()) >= least]
+    found = []
+    for match in _LINE.finditer(text or ""):
+        words = match[0].lower().split()
+        if len(words) >= least:
+            found.append((match.start(), match.end(), _digest(" ".join(words))))
+    return found
 
 
-def _pieces(line: str) -> Iterator[tuple[int, int]]:
-    """(end, number of words) of the sentences of a line, long ones cut further."""
+def _pieces(line: str) -> Iterator[tuple[int, int, str]]:
+    """(end, number of words, normalised text) of the sentences of a line, long ones cut further."""
     for sentence in _SENTENCE.finditer(line):
-        n = len(sentence[0].split())
-        if n > LONG_WORDS:
-            n, before = 0, ""
-            for match in _WORD.finditer(line, sentence.start(), sentence.end()):
-                word = match[0].lower()
-                if n and xxhash.xxh3_64_intdigest(f"{before} {word}".encode("utf-8")) % CUT == 0:
-                    yield match.start(), n
-                    n = 0
-                n, before = n + 1, word
-        yield sentence.end(), n
+        split = sentence[0].lower().split()
+        n = len(_WORD.findall(sentence[0])) if _UNSPACED.search(sentence[0]) else len(split)
+        if n <= LONG_WORDS:
+            yield sentence.end(), n, " ".join(split)
+            continue
+        n, before, begin = 0, "", sentence.start()
+        for match in _WORD.finditer(line, sentence.start(), sentence.end()):
+            word = match[0].lower()
+            if n and xxhash.xxh3_64_intdigest(f"{before} {word}".encode("utf-8")) % CUT == 0:
+                yield match.start(), n, " ".join(line[begin : match.start()].lower().split())
+                n, begin = 0, match.start()
+            n, before = n + 1, word
+        yield sentence.end(), n, " ".join(line[begin : sentence.end()].lower().split())
 
 
 def passage_units(text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
     """(start, end, digest) of the sentence-sized units of each line; digests differ from those of lines.
 
-    Units with fewer words have two digests, one with the unit before and one with the unit after.
+    Units with fewer words have two digests, one with the unit before and one with the unit after, unless they are a line.
     """
     found = []
     for match in _LINE.finditer(text or ""):
         line, at = match[0], match.start()
         pieces, begin = [], 0
-        for end, n in _pieces(line):
+        for end, n, words in _pieces(line):
             if n:
-                pieces.append((begin, end, n))
+                pieces.append((begin, end, n, words))
                 begin = end
-        for i, (begin, end, n) in enumerate(pieces):
-            if n >= least:
-                found.append((at + begin, at + end, _digest(line[begin:end], 1)))
+        for i, (begin, end, n, words) in enumerate(pieces):
+            if n >= least or len(pieces) == 1:
+                found.append((at + begin, at + end, _digest(words, 1)))
                 continue
             if i:
-                found.append((at + begin, at + end, _digest(line[pieces[i - 1][0] : end], 2)))
+                found.append((at + begin, at + end, _digest(f"{pieces[i - 1][3]} {words}", 2)))
             if i + 1 < len(pieces):
-                found.append((at + begin, at + end, _digest(line[begin : pieces[i + 1][1]], 3)))
+                found.append((at + begin, at + end, _digest(f"{words} {pieces[i + 1][3]}", 3)))
     return found
 
 
@@ -103,33 +117,54 @@ def cut_out(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[in
     return "".join(left) + text[at:], merged
 
 
+_KEY = ">qi"
+
+
 def units(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """One row for each line with enough words and each unit within lines: doc_id, text_hash, inner, start, end, digest."""
+    """One row for each line with enough words and each unit within lines: key and rest of the digest, doc_id, text_hash,
+    place (start, end and whether it is within a line, in one number that orders by start)."""
 
     def start():
         def apply(columns: Columns) -> Columns:
             rows = [
-                (doc_id, text_hash, inner, *unit)
+                (*struct.unpack_from(_KEY, digest), doc_id, text_hash, begin << 32 | end << 1 | inner)
                 for doc_id, text_hash, text in zip(columns["doc_id"], columns["text_hash"], columns["text"])
-                for inner, found in ((False, line_units(text, least)), (True, passage_units(text)))
-                for unit in found
+                for inner, found in ((0, line_units(text, least)), (1, passage_units(text)))
+                for begin, end, digest in found
             ]
-            names = ("doc_id", "text_hash", "inner", "start", "end", "digest")
+            names = ("key", "rest", "doc_id", "text_hash", "place")
             return dict(zip(names, map(list, zip(*rows)))) if rows else {name: [] for name in names}
 
         return apply
 
-    schema = "doc_id long, text_hash long, inner boolean, start int, end int, digest binary"
+    schema = "key long, rest int, doc_id long, text_hash long, place long"
     return in_batches(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), schema, start)
 
 
+def keys(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """The column key of ``units``."""
+
+    def start():
+        def apply(columns: Columns) -> Columns:
+            found = (unit for text in columns["text"] for unit in (*line_units(text, least), *passage_units(text)))
+            return {"key": [struct.unpack_from(_KEY, digest)[0] for _, _, digest in found]}
+
+        return apply
+
+    return in_batches(docs.select("text"), "key long", start)
+
+
 def repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Per document with text that occurred before: doc_id, text_hash, spans by start of lines and of units within lines."""
-    found = saved(units(docs, least))
-    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "start")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = found.withColumn("rank", rank).join(first, "digest").where(F.col("rank") != F.col("first"))
-    lines, inner = (F.collect_set(F.when(F.col("inner") == kind, F.struct("start", "end"))) for kind in (False, True))
+    often = saved(keys(docs, least).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    found = saved(units(docs, least).join(often, "key"))
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "place")
+    first = found.groupBy("key", "rest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = found.withColumn("rank", rank).join(first, ["key", "rest"]).where(F.col("rank") != F.col("first"))
+    begin = F.shiftright("place", 32).cast("int").alias("start")
+    end = F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int").alias("end")
+    kind = F.col("place").bitwiseAND(F.lit(1))
+    lines, inner = (F.collect_set(F.when(kind == k, F.struct(begin, end))) for k in (0, 1))
     return later.groupBy("doc_id", "text_hash").agg(
         F.array_sort(lines).alias("removed"), F.array_sort(inner).alias("repeated")
     )
