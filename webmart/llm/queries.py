@@ -14,6 +14,7 @@ from webmart.llm import (
     mixing,
     neighbours,
     order_minhash,
+    periodic_runs,
     pieces,
     secret_scan,
     simhash,
@@ -76,6 +77,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(documents(spark, sf_dir), model)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_planted_periods(documents(spark, sf_dir))
+    return periodic_runs.run_digests(periodic_runs.find_runs(planted))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -88,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_url_filter": op9_url_filter,
         "op10_pieces": op10_pieces,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
