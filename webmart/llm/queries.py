@@ -18,6 +18,7 @@ from webmart.llm import (
     pieces,
     secret_scan,
     simhash,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -77,6 +78,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(documents(spark, sf_dir), model)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.misspelt_vocabulary(documents(spark, sf_dir)))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = periodic_runs.with_planted_periods(documents(spark, sf_dir))
     return periodic_runs.run_digests(periodic_runs.find_runs(planted))
@@ -94,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_url_filter": op9_url_filter,
         "op10_pieces": op10_pieces,
+        "op11_spelling": op11_spelling,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
