@@ -14,6 +14,7 @@ from webmart.llm import (
     mixing,
     neighbours,
     order_minhash,
+    page_text,
     periodic_runs,
     pieces,
     secret_scan,
@@ -82,6 +83,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.misspelt_vocabulary(documents(spark, sf_dir)))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = periodic_runs.with_planted_periods(documents(spark, sf_dir))
     return periodic_runs.run_digests(periodic_runs.find_runs(planted))
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op9_url_filter": op9_url_filter,
         "op10_pieces": op10_pieces,
         "op11_spelling": op11_spelling,
+        "op12_page_text": op12_page_text,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
