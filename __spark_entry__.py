@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 try:  # the training-data operators may be left out
@@ -23,7 +25,7 @@ from webmart.functions.categories import event_category  # noqa: E402
 from webmart.operators import dimensions, keywords, quality, reporting, sessions  # noqa: E402
 from webmart.plans.mart import Mart  # noqa: E402
 from webmart.sinks import files, insights  # noqa: E402
-from webmart.sinks.tables import ScratchStore, scratch_folder  # noqa: E402
+from webmart.sinks.tables import ScratchStore, VersionedTable, scratch_folder  # noqa: E402
 from webmart.sources import exports, sample  # noqa: E402
 
 _SETTINGS = sample.SETTINGS
@@ -101,18 +103,84 @@ def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _keyword_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes one export per domain and source, the two families with different columns, and reads them all back."""
     root = scratch_folder(spark)
-    raw = sample.keyword_exports(spark, sf_dir)
-    families = {
-        "organic": raw.withColumn("Previous Position", F.col("Position")),
-        "paid": raw.withColumn("Title", F.col("Keyword")),
-    }
-    for key, domain in _SETTINGS.domains.items():
-        for source, rows in families.items():
-            own = rows.where((F.col("domain") == domain) & (F.col("source") == source)).drop("domain", "source")
-            files.write_csv(own, f"{root}/{source}_keywords_{key}.csv", sep=";")
+    sample.write_keyword_exports(sample.keyword_exports(spark, sf_dir), root)
     return exports.read_keyword_exports(spark, root, _SETTINGS.domains)
 
 
+def _flawed_exports(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_folder(spark)
+    sample.write_keyword_exports(sample.keyword_exports(spark, sf_dir), root, flawed=True)
+    return root
+
+
+def _export_name(path: str) -> Column:
+    return F.regexp_extract(path, r"/((?:organic|paid)_keywords_[^/]+)\.csv", 1)
+
+
+def _keyword_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that a load of flawed exports leaves out: rows with a field too many, and values that do not fit their type."""
+    root = _flawed_exports(spark, sf_dir)
+    read = exports.read_keyword_exports(spark, root, _SETTINGS.domains, with_file=True)
+    values = keywords.rejected_values(keywords.prepare_keywords(read, _SETTINGS))
+    rows = exports.rejected_rows(spark, root, _SETTINGS.domains)
+    return values.select(
+        _export_name("export_file").alias("export"), F.col("Keyword").alias("keyword"), "column", "text"
+    ).unionByName(
+        rows.select(
+            _export_name("export_file").alias("export"),
+            F.split_part("row_text", F.lit(";"), F.lit(1)).alias("keyword"),
+            F.lit(None).cast("string").alias("column"),
+            F.col("row_text").alias("text"),
+        )
+    )
+
+
+def _export_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each flawed export meets the contract of its family; the line counts of its parts are added up."""
+    found = exports.export_check(spark, f"{_flawed_exports(spark, sf_dir)}/*_keywords_*.csv")
+    listed = [F.array_join(name, ",").alias(name) for name in ("missing", "extra", "moved")]
+    parts = found.where("first_line IS NOT NULL").select(_export_name("path").alias("export"), "accepted", "family", *listed, "lines")
+    keys = ["export", "accepted", "family", "missing", "extra", "moved"]
+    return parts.groupBy(*keys).agg(F.sum(F.col("lines") - 1).alias("row_count"))
+
+
+def _domain_ranks_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank exports written as three files, one of them refused, and read back."""
+    root = scratch_folder(spark)
+    ranks = sample.rank_exports(spark, sf_dir)
+    number = F.col("Rank").cast("int")
+    for part in (0, 1):
+        files.write_csv(ranks.where(number % 2 == part), f"{root}/domain_ranks_{part}.csv", sep=";")
+    spark.range(1).select(F.lit("ERROR 120 :: WRONG KEY")).write.text(f"{root}/domain_ranks_2.csv")
+    return keywords.load_domain_ranks(exports.read_rank_exports(spark, root), _SETTINGS)
+
+
+def _table_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be read under a table's name after a first build, a failed one, and one that succeeds."""
+    loaded = sample.loaded_keywords(spark, sf_dir)
+    table = VersionedTable(spark, f"rebuilt_{uuid.uuid4().hex[:12]}")
+    store = ScratchStore(spark)
+    failing = loaded.withColumn(
+        "Keyword", F.when(F.col("source") == "paid", F.raise_error(F.lit("rejected"))).otherwise(F.col("Keyword"))
+    )
+    steps = {"first": loaded.where("source = 'organic'"), "failed": failing, "whole": loaded}
+    seen = []
+    try:
+        for step, rows in steps.items():
+            try:
+                table.replace(rows, ("domain",))
+            except Exception as error:
+                if step != "failed" or "rejected" not in str(error):
+                    raise
+            counted = spark.table(table.name).groupBy("domain", "source").agg(
+                F.count(F.lit(1)).alias("row_count"), F.sum("Search_Volume").alias("search_volume")
+            )
+            seen.append(store.save("rebuild", step, counted.withColumn("step", F.lit(step))))
+    finally:
+        table.drop()
+    return reduce(DataFrame.unionByName, seen)
+
+
 def _page_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = _keywords(spark, sf_dir)
     return sessions.resolve_pages(
@@ -175,6 +243,10 @@ def mart_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_kw": _over_prepared(lambda rows: rows.select("Keyword", "page_path", "join_category")),
         "keyword_csv_scan": _csv_scan,
         "keyword_union": _keyword_union,
+        "keyword_rejects": _keyword_rejects,
+        "export_error_check": _export_check,
+        "domain_ranks_scan": _domain_ranks_scan,
+        "table_rebuild": _table_rebuild,
         "keyword_prepare": sample.prepared_keywords,
         "keyword_load": sample.loaded_keywords,
         "kw_path_lookup": _over_loaded(keywords.path_lookup, _SETTINGS),

@@ -351,6 +351,44 @@ brief AS (
 
 _KW = (_RAW_KEYWORDS, _LOOKUPS)
 _STAGED = (_FLAT, *_KW, _ATTRS, _VIEWS, _RESOLVED, _METRICS, _SESSIONS)
+_FLAWED = """
+flawed AS (
+  SELECT *, source || '_keywords_' || replace(domain, '.', '_') AS export,
+         CASE WHEN p_partkey % 17 = 3 THEN 'n/a' ELSE CAST(pos AS VARCHAR) END AS bad_pos,
+         CASE WHEN p_partkey % 19 = 4 THEN replace(CAST(cpc AS VARCHAR), '.', ',') ELSE CAST(cpc AS VARCHAR) END AS bad_cpc
+  FROM (SELECT *, CAST(regexp_extract(kw, '([0-9]+)$', 1) AS BIGINT) AS p_partkey FROM kw)
+  WHERE NOT (source = 'paid' AND domain = 'zazzle.com')
+)"""
+
+_REJECTS = """
+SELECT export, kw AS keyword, 'Position' AS "column", bad_pos AS text FROM flawed
+WHERE p_partkey % 23 <> 5 AND p_partkey % 17 = 3
+UNION ALL
+SELECT export, kw, 'CPC', bad_cpc FROM flawed WHERE p_partkey % 23 <> 5 AND p_partkey % 19 = 4
+UNION ALL
+SELECT export, kw, NULL,
+       kw || ';' || coalesce(bad_pos, '') || ';' || coalesce(CAST(vol AS VARCHAR), '') || ';' || bad_cpc || ';'
+       || CAST(traffic AS VARCHAR) || ';' || CAST(competition AS VARCHAR) || ';'
+       || coalesce(CASE WHEN contains(url, ';') THEN '"' || url || '"' ELSE url END, '') || ';'
+       || CASE WHEN source = 'paid' THEN kw ELSE coalesce(CAST(pos AS VARCHAR), '') END || ';surplus'
+FROM flawed WHERE p_partkey % 23 = 5"""
+
+_CHECKED = """
+SELECT export, true AS accepted, source AS family,
+       CASE source WHEN 'organic' THEN 'Position Difference,Traffic Cost (%),Number of Results,Trends'
+                   ELSE 'Traffic Cost (%),Description' END AS missing,
+       '' AS extra,
+       CASE source WHEN 'organic' THEN 'Previous Position,Search Volume,CPC,Url,Traffic (%),Competition' ELSE '' END AS moved,
+       count(*) AS row_count
+FROM flawed GROUP BY export, source
+UNION ALL SELECT 'paid_keywords_zazzle_com', false, NULL, NULL, NULL, NULL, 1"""
+
+_REBUILT = """
+SELECT step, domain, source, count(*) AS row_count, CAST(sum(vol) AS BIGINT) AS search_volume
+FROM kw, (VALUES ('first'), ('failed'), ('whole')) AS steps(step)
+WHERE source = 'organic' OR step = 'whole'
+GROUP BY ALL"""
+
 _MART = (*_STAGED, _DIMENSIONS, _RANKS, _FACT, _ENRICHED, _REPORTS, _SUMMARY)
 
 
@@ -418,6 +456,10 @@ def statements() -> dict[str, str]:
                 "CASE WHEN source = 'paid' THEN kw END AS \"Title\""
             ),
         ),
+        "keyword_rejects": _with((_RAW_KEYWORDS, _FLAWED), _REJECTS),
+        "export_error_check": _with((_RAW_KEYWORDS, _FLAWED), _CHECKED),
+        "domain_ranks_scan": _with((_RANKS,), "SELECT * FROM domain_ranks"),
+        "table_rebuild": _with((_RAW_KEYWORDS,), _REBUILT),
         "keyword_prepare": _with((_RAW_KEYWORDS,), _PREPARED),
         "keyword_load": _with((_RAW_KEYWORDS,), _LOADED),
         "kw_path_lookup": _with(_KW, "SELECT * FROM path_lookup"),

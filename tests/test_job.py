@@ -36,3 +36,20 @@ def test_job(spark, sf_dir, tmp_path, capsys):
     assert spark.table("j_marts.dim_competitor").where("is_target").count() == 1
     log = spark.table("j_marts.ai_insights").collect()
     assert len(log) == 1 and log[0].insight_text.startswith("Channel Performance Summary (2024-01-16 to 2024-01-30):")
+
+
+def test_job_reports_what_it_leaves_out(spark, sf_dir, tmp_path, capsys):
+    shards, folder = str(tmp_path / "shards"), str(tmp_path / "exports")
+    sample.events(spark, sf_dir).where("event_date = '20240105'").write.parquet(f"{shards}/events_20240105")
+    sample.write_keyword_exports(sample.keyword_exports(spark, sf_dir), folder, flawed=True)
+    places = ["--events", shards, "--shards", "--exports", folder, "--staging", "r_staging", "--marts", "r_marts"]
+    job.run(spark, [*places, "--reporting", "r_reports", "--days", "20240101", "20240130", "--current", "2024-01-01", "2024-01-10"])
+    text = capsys.readouterr().out
+    rows = spark.table("r_staging.semrush_rejected_rows")
+    values = spark.table("r_staging.semrush_rejected_values")
+    assert rows.count() > 0 and f"'rows_left_out': {rows.count()}" in text
+    for column in ("Position", "CPC"):
+        assert values.where(values.column == column).count() > 0
+        assert f"'{column}': {values.where(values.column == column).count()}" in text
+    assert "organic_keywords_merch_google.csv" in text
+    assert "export_file" not in spark.table("r_staging.semrush_keywords").columns

@@ -69,3 +69,8 @@ def joinable_share(prepared: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.avg(F.coalesce(joinable, F.lit(0))).alias("joinable_share"),
     )
+
+
+def rejects_per_file(rejected: DataFrame) -> DataFrame:
+    """Rows left out of each export file."""
+    return rejected.groupBy("export_file").agg(F.count(F.lit(1)).alias("row_count")).orderBy("export_file")

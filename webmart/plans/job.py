@@ -9,12 +9,12 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from webmart.operators import keywords, quality, reporting
 from webmart.plans.mart import build_mart
 from webmart.settings import MartSettings
-from webmart.sinks import insights
+from webmart.sinks import insights, tables
 from webmart.sources import events, exports
 
 
@@ -60,11 +60,13 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         **tracked,
     )
     read = events.read_event_shards if given.shards else events.read_events
-    exported = exports.read_keyword_exports(spark, given.exports, settings.domains)
+    left_out, losses = Observation("keyword rows"), Observation("keyword values")
+    exported = exports.read_keyword_exports(spark, given.exports, settings.domains, counts=left_out, with_file=True)
+    prepared = keywords.prepare_keywords(exported, settings)
     ranks = exports.read_rank_exports(spark, given.exports)
     mart = build_mart(
         read(spark, given.events, first, last, given.format),
-        keywords.load_keywords(keywords.prepare_keywords(exported, settings), settings),
+        keywords.load_keywords(prepared, settings, losses).drop(exports.EXPORT_FILE),
         None if ranks is None else keywords.load_domain_ranks(ranks, settings),
         settings,
         given.staging,
@@ -76,6 +78,15 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     brief = reporting.channel_brief(mart.channel_summary())
     insights.append_insights(reporting.brief_report(brief, settings), log)
 
+    # both counts were taken while the keyword table was written; what they count is kept only if there is any
+    print(f"keyword rows read and left out: {left_out.get}")
+    print(f"keyword values that do not fit their type: {losses.get}")
+    if left_out.get["rows_left_out"]:
+        rejected = exports.rejected_rows(spark, given.exports, settings.domains)
+        tables.write_table(rejected, f"`{given.staging}`.`semrush_rejected_rows`")
+        quality.rejects_per_file(spark.table(f"`{given.staging}`.`semrush_rejected_rows`")).show(truncate=False)
+    if any(count for name, count in losses.get.items() if name != "rows"):
+        tables.write_table(keywords.rejected_values(prepared), f"`{given.staging}`.`semrush_rejected_values`")
     quality.preparation_summary(mart.keywords).show()
     quality.category_breakdown(mart.keywords, settings).show(truncate=False)
     quality.joinable_share(mart.keywords).show()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 
@@ -38,7 +41,8 @@ EVENTS = T.StructType(
     ]
 )
 
-# Raw exports arrive as text; their readers take the column order from each file's own header.
+# The headers of the five kinds of export. All columns arrive as text, in the order of each file's own header,
+# which is matched with these.
 ORGANIC_EXPORT = _strings(
     "Keyword",
     "Position",
@@ -105,6 +109,49 @@ EXPORTS = {
     "keyword_difficulty": DIFFICULTY_EXPORT,
 }
 
+
+
+@dataclass(frozen=True)
+class HeaderMatch:
+    """How a file's header meets the contract of the kind of export that it shares most columns with."""
+
+    family: str | None
+    missing: list[str]
+    extra: list[str]
+    moved: list[str]
+
+    @property
+    def departs(self) -> bool:
+        return bool(self.family is None or self.missing or self.extra or self.moved)
+
+    def __str__(self) -> str:
+        parts = {"missing": self.missing, "extra": self.extra, "moved": self.moved}
+        return f"{self.family or 'no known export'}; " + "; ".join(f"{k}: {', '.join(v)}" for k, v in parts.items() if v)
+
+
+def match_header(names: Sequence[str]) -> HeaderMatch:
+    """The kind of export with the largest share of common columns, and where the header departs from it.
+
+    A column has moved if it stands at another place among the columns that header and contract share.
+    """
+    given = set(names)
+    shares = {
+        family: len(given.intersection(schema.names)) / len(given.union(schema.names)) for family, schema in EXPORTS.items()
+    }
+    family = max(shares, key=shares.get)
+    if not shares[family]:
+        return HeaderMatch(None, [], list(names), [])
+    contract = EXPORTS[family].names
+    common = [name for name in contract if name in given]
+    placed = [name for name in names if name in contract]
+    return HeaderMatch(
+        family,
+        [name for name in contract if name not in given],
+        [name for name in names if name not in contract],
+        [name for name, other in zip(common, placed) if name != other],
+    )
+
+
 # Rank export header -> table column.
 RANK_COLUMNS = {
     "Domain": "domain",

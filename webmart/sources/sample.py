@@ -5,9 +5,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from webmart.operators import keywords
 from webmart.settings import MartSettings
+from webmart.sinks.files import write_csv
+from webmart.sinks.tables import ScratchStore
 
 SETTINGS = MartSettings(
     event_days=("20240101", "20240130"),
@@ -84,6 +87,8 @@ KEYWORD_URLS = (
     "https://merch.google/checkout",
 )
 KEYWORD_DOMAINS = ("merch.google", "merch.google", "cafepress.com", "redbubble.com", "zazzle.com")
+#: The export that is written as a refusal where flaws are asked for.
+FLAWED_EXPORT = ("paid", "zazzle_com")
 SAMPLE_PHRASES = ("red widget 1", "small ring 0", "no such keyword")
 
 
@@ -151,6 +156,52 @@ def keyword_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_families(raw: DataFrame) -> dict[str, DataFrame]:
+    """The two families of keyword exports, each with a column of its own."""
+    return {
+        "organic": raw.withColumn("Previous Position", F.col("Position")),
+        "paid": raw.withColumn("Title", F.col("Keyword")),
+    }
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """Rows as lines of text, in one column whose name is the header line."""
+    header = ";".join(rows.columns)
+    return rows.select(F.to_csv(F.struct(*rows.columns), {"sep": ";"}).alias(header))
+
+
+def write_keyword_exports(raw: DataFrame, root: str, flawed: bool = False, settings: MartSettings = SETTINGS) -> None:
+    """Write one export per domain and source under ``root``.
+
+    ``flawed`` adds what goes wrong in exports: values that do not fit their type, rows with a field too many, an export
+    that is a refusal, and one without rows.
+    """
+    kept = ScratchStore(raw.sparkSession).save("exports", "rows", raw, ("domain", "source"))
+    for key, domain in settings.domains.items():
+        for source, rows in export_families(kept).items():
+            own = rows.where((F.col("domain") == domain) & (F.col("source") == source)).drop("domain", "source")
+            path = f"{root}/{source}_keywords_{key}.csv"
+            if not flawed:
+                write_csv(own, path, sep=";")
+                continue
+            number = F.regexp_extract("Keyword", r"(\d+)$", 1).cast("int")
+            own = own.withColumns(
+                {
+                    "Position": F.when(number % 17 == 3, F.lit("n/a")).otherwise(F.col("Position")),
+                    "CPC": F.when(number % 19 == 4, F.replace("CPC", F.lit("."), F.lit(","))).otherwise(F.col("CPC")),
+                }
+            )
+            lines = _lines(own)
+            name = F.col(f"`{lines.columns[0]}`")
+            digits = F.regexp_extract(name, r"^[^;]*?(\d+);", 1).cast("int")
+            lines = lines.select(F.when(digits % 23 == 5, F.concat(name, F.lit(";surplus"))).otherwise(name).alias(lines.columns[0]))
+            if (source, key) == FLAWED_EXPORT:
+                lines = raw.sparkSession.range(1).select(F.lit("NOTHING FOUND").alias("ERROR 50"))
+            # the lines are written as they are: one field, no quotes
+            writer = lines.write.mode("overwrite").option("header", True).option("sep", "\x01")
+            writer.option("quote", "\x00").option("escapeQuotes", False).csv(path)
+
+
 def prepared_keywords(spark: SparkSession, sf_dir: str, settings: MartSettings = SETTINGS) -> DataFrame:
     return keywords.prepare_keywords(keyword_exports(spark, sf_dir), settings)
 
