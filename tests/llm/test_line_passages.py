@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import pytest
 
@@ -68,3 +70,22 @@ def test_short_lines_and_scripts_without_spaces(spark):
     spans = [texts[3][s.start : s.end] for s in rows[3].repeated]
     assert sum(len(span) for span in spans if span in copied) >= 50
     assert rows[3].unique_text.endswith("\nOne. Three.")
+
+
+#: Sentences by a form that gives characters back, as slow as the square of a run of end marks.
+PLAIN_SENTENCE = re.compile(r".+?(?:[.!?…]+[\"')\]»”’]*(?=\s|\Z)|[。！？]+[」』”’]*|\Z)\s*")
+
+
+def test_sentences_are_those_of_the_plain_form():
+    draw = random.Random(8)
+    for _ in range(40_000):
+        line = "".join(draw.choices("ab .!?…。！」\"') \t日", k=draw.randint(1, 14)))
+        wanted = [match.span() for match in PLAIN_SENTENCE.finditer(line)]
+        assert [match.span() for match in line_dedup._SENTENCE.finditer(line)] == wanted, line
+
+
+@pytest.mark.parametrize("mark", [".", "!", "?\"", "…", "。", ". ", "a.", ".)"])
+def test_runs_of_end_marks_take_no_time(mark):
+    began = time.time()
+    line_dedup.passage_units(mark * 1_000_000 + "x")
+    assert time.time() - began < (1 if mark in ".!…" else 20)

@@ -37,7 +37,11 @@ LEAST_WORDS = 5
 LONG_WORDS = 32
 CUT = 12
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r".+?(?:[.!?…]+[\"')\]»”’]*(?=\s|\Z)|[。！？]+[」』”’]*|\Z)\s*")
+#: From a first character on: text without end marks, runs of end marks that no space follows, then what ends the sentence.
+#: Nothing is given back, so a run of end marks is passed once.
+_SENTENCE = re.compile(
+    r".(?:[^.!?…。！？]++|[.!?…]++[\"')\]»”’]*+(?!\s|\Z))*+(?:[.!?…]++[\"')\]»”’]*+|[。！？]++[」』”’]*+|\Z)\s*+"
+)
 #: Letters of scripts written without spaces (Thai to Khmer, kana, Han); each counts as a word.
 _LETTERS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _UNSPACED = re.compile(f"[{_LETTERS}]")
