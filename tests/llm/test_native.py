@@ -93,3 +93,14 @@ def test_empty_tables_and_lists(spark):
     assert not any(row.blocked for row in url_filter.judge(captures, entries.limit(0)).collect())
     clashing = captures.withColumns({name: F.lit("own") for name in ("kind", "pattern", "month", "lists", "p", "starts")})
     assert url_filter.judge(clashing, entries).count() == 10
+
+
+def test_an_interval_without_an_end_stays_open(spark):
+    entries = [("a", "host", "x.com", date(2024, 1, 5), "add"), ("b", "host", "x.com", date(2024, 1, 5), "add"),
+               ("b", "host", "x.com", date(2090, 1, 1), "remove")]
+    entries = spark.createDataFrame(entries, "list string, kind string, pattern string, listed_on date, action string")
+    days = [date(2024, 1, 4), date(2024, 1, 5), date(2099, 12, 31), date(2100, 1, 1), date(2345, 6, 7)]
+    rows = [(n, "http://x.com/p", day) for n, day in enumerate(days)]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched_on date")
+    found = {row.page_id: row.lists for row in url_filter.judge(captures, entries).collect()}
+    assert found == {0: "", 1: "a,b", 2: "a", 3: "a", 4: "a"}

@@ -9,7 +9,8 @@ Intervals are cut at months and met by pattern and month, so a host with a third
 no capture meets intervals of other months, and what is left of the skew is split by Spark's join. Entries of one pattern
 and day are combined before anything is sorted, which bounds a pattern's intervals by its days.
 
-Of entries alike in list, pattern and day, ``add`` wins. An interval starts on its day and ends before the next entry's.
+Of entries alike in list, pattern and day, ``add`` wins. An interval starts on its day and ends before the next entry's;
+one that no later entry closes has no end.
 Captures without URL, day or host are never blocked. Rows alike in page_id, url and fetched_on give one result row. Only
 DataFrame functions are used.
 """
@@ -20,8 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-#: Far behind every capture: the end of an interval that no later entry closes.
-LAST_DAY = "2100-01-01"
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:@]+)"
 _PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
 
@@ -54,7 +53,7 @@ def intervals(entries: DataFrame) -> DataFrame:
         .agg(F.max(F.col("action") == "add").alias("on"))
     )
     order = Window.partitionBy("list", "kind", "pattern").orderBy("listed_on")
-    ends = F.coalesce(F.lead("listed_on").over(order), F.to_date(F.lit(LAST_DAY)))
+    ends = F.lead("listed_on").over(order)
     return days.withColumn("ends", ends).where("on").select("list", "kind", "pattern", F.col("listed_on").alias("starts"), "ends")
 
 
@@ -69,12 +68,12 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     rows = captures.select("page_id", "url", "fetched_on", F.explode_outer(looked).alias("p"))
     rows = rows.select("page_id", "url", "fetched_on", "p.kind", "p.pattern", F.trunc("fetched_on", "MM").alias("month"))
     bounds = captures.agg(F.trunc(F.min("fetched_on"), "MM").alias("low"), F.trunc(F.max("fetched_on"), "MM").alias("high"))
-    spans = intervals(entries).join(F.broadcast(bounds)).where("starts < ends")
+    spans = intervals(entries).join(F.broadcast(bounds)).where("ends IS NULL OR starts < ends")
     first = F.greatest(F.trunc("starts", "MM"), F.col("low"))
-    last = F.least(F.trunc(F.date_sub("ends", 1), "MM"), F.col("high"))
+    last = F.least(F.trunc(F.date_sub("ends", 1), "MM"), F.col("high"))  # of the latter alone without an end
     by_month = spans.where(first <= last).withColumn("month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
     found = rows.join(by_month, ["kind", "pattern", "month"], "left")
-    active = (F.col("starts") <= F.col("fetched_on")) & (F.col("fetched_on") < F.col("ends"))
+    active = (F.col("starts") <= F.col("fetched_on")) & (F.col("ends").isNull() | (F.col("fetched_on") < F.col("ends")))
     lists = F.array_sort(F.collect_set(F.when(active, F.col("list"))))
     judged = found.groupBy("page_id", "url", "fetched_on").agg(lists.alias("lists"))
     return judged.select(
@@ -149,8 +148,8 @@ def judge_sql() -> str:
       u AS (SELECT DISTINCT bare AS pattern FROM c WHERE bare <> ''),
       e AS ({entries("h", "abuse", "host", 2)} UNION ALL {entries("a", "policy", "host", 2)} UNION ALL {entries("u", "takedown", "url", 4)}),
       days AS (SELECT list, kind, pattern, listed_on, bool_or(action = 'add') AS active FROM e GROUP BY ALL),
-      i AS (SELECT *, coalesce(lead(listed_on) OVER (PARTITION BY list, kind, pattern ORDER BY listed_on), DATE '{LAST_DAY}') AS ends FROM days),
-      m AS (SELECT DISTINCT page_id, url, fetched_on, i.list FROM c JOIN i ON i.active AND fetched_on >= listed_on AND fetched_on < ends
+      i AS (SELECT *, lead(listed_on) OVER (PARTITION BY list, kind, pattern ORDER BY listed_on) AS ends FROM days),
+      m AS (SELECT DISTINCT page_id, url, fetched_on, i.list FROM c JOIN i ON i.active AND fetched_on >= listed_on AND (ends IS NULL OR fetched_on < ends)
             AND c.host <> '' AND ((kind = 'url' AND pattern = bare) OR (kind = 'host' AND (pattern = c.host OR
             (contains(pattern, '.') AND ends_with(c.host, '.' || pattern))))))
       SELECT c.page_id, c.url, c.fetched_on, count(list) > 0 AS blocked, coalesce(string_agg(list, ',' ORDER BY list), '') AS lists
