@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from webmart.llm import simhash
 from webmart.llm.queries import op4_simhash
@@ -93,3 +94,21 @@ def test_one_document_of_each_group_stays(odd, clashing, none):
     assert sum(row.doc_id is None for row in kept.collect()) == 2
     assert simhash.one_of_each(clashing).columns == clashing.columns
     assert simhash.one_of_each(none).count() == 0
+
+
+def test_no_group_is_lost_where_an_id_has_several_texts(spark):
+    x, y = "a text of some words that are its own", "and another one, with nothing in common"
+    rows = [(5, x), (7, x), (5, y), (3, y), (9, x), (5, y), (None, x)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(5, x), (3, y), (None, x)], key=repr)
+
+
+def test_crowded_blocks_join_in_a_way_that_spark_splits(spark, monkeypatch):
+    """The frame that the crowd's join reads is a saved table on either side, not an aggregate in the same stage."""
+    seen = []
+    real = simhash.saved
+    monkeypatch.setattr(simhash, "saved", lambda frame: seen.append(frame) or real(frame))
+    prints = spark.range(300).select(F.col("id").alias("print"))
+    simhash.links(real(simhash.pivot_table(prints)))
+    joined = seen[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in joined and "Aggregate" not in joined

@@ -72,16 +72,17 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per row: doc_id and the fingerprint as a signed long."""
+    """Per row: doc_id, a hash of the text, and the fingerprint as a signed long."""
 
     def start():
         def apply(columns: Columns) -> Columns:
             prints = [_signed(fingerprint(text, words)) for text in columns["text"]]
-            return {"doc_id": columns["doc_id"], "print": prints}
+            return {"doc_id": columns["doc_id"], "text_hash": columns["text_hash"], "print": prints}
 
         return apply
 
-    return in_batches(docs.select("doc_id", "text"), "doc_id long, print long", start)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return in_batches(rows, "doc_id long, text_hash long, print long", start)
 
 
 def _distance(left: Column, right: Column) -> Column:
@@ -109,7 +110,8 @@ def links(table: DataFrame) -> DataFrame:
         ]
     )
     met = table.select("print", "distances", F.explode(blocks).alias("block")).select("print", "distances", "block.*")
-    sizes = met.groupBy("k", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    # saved, so that the join below is one of two plain shuffles, which Spark splits where a block is crowded
+    sizes = saved(met.groupBy("k", "bits").agg(F.count("*").alias("n")).where("n > 1"))
     grouped = saved(met.join(sizes, ["k", "bits"]))
     few = grouped.where(F.col("n") <= CROWD)
     near = F.forall(
@@ -152,16 +154,19 @@ def connected(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """Per distinct fingerprint: print, the least doc_id that has it, and the root of its group."""
+    roots = connected(links(saved(pivot_table(prints))))
+    least = prints.groupBy("print").agg(F.min("doc_id").alias("doc_id"))
+    return least.join(roots, F.col("print") == F.col("node"), "left").select(
+        "print", "doc_id", F.coalesce("root", "print").alias("root")
+    )
+
+
 def components(prints: DataFrame) -> DataFrame:
     """Rows (doc_id, print) with component_id, the smallest doc_id reachable over links."""
     prints = saved(prints.select("doc_id", "print"))
-    roots = connected(links(saved(pivot_table(prints))))
-    named = (
-        prints.groupBy("print")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .join(roots, F.col("print") == F.col("node"), "left")
-        .select("print", "doc_id", F.coalesce("root", "print").alias("root"))
-    )
+    named = _rooted(prints)
     ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = named.select("print", "root").join(ids, "root").select("print", "component_id")
     return prints.join(labels, "print").select("doc_id", "print", "component_id")
@@ -174,14 +179,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that name their group, all columns kept; rows without doc_id stay, as they cannot be told apart.
+    """One document of each group, all columns kept: the one of the smallest doc_id and, of those, the lowest text hash.
 
-    Rows that repeat a doc_id are one document; the row whose text hashes lowest stays.
+    Rows alike in doc_id and text are one document. Rows without doc_id stay, as they cannot be told apart.
     """
-    found = components(fingerprints(docs))
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    salt, rank = fresh(docs, "salt"), fresh(docs, "rank")
-    order = Window.partitionBy("doc_id", salt).orderBy(F.xxhash64("text"))
+    prints = saved(fingerprints(docs))
+    who = F.struct("doc_id", "text_hash")
+    known = prints.where("doc_id IS NOT NULL").join(_rooted(prints).select("print", "root"), "print")
+    first = saved(known.groupBy("root").agg(F.min(who).alias("first")))
+    dropped = known.join(first, "root").where(who != F.col("first")).select("doc_id", "text_hash").distinct()
+    text_hash, salt, rank = fresh(docs, "text_hash"), fresh(docs, "salt"), fresh(docs, "rank")
+    marked = docs.withColumn(text_hash, F.xxhash64("text"))
+    kept = marked.join(dropped.withColumnRenamed("text_hash", text_hash), ["doc_id", text_hash], "left_anti")
+    order = Window.partitionBy("doc_id", text_hash, salt).orderBy(text_hash)
     salted = kept.withColumn(salt, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
     return salted.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*columns_of(docs))
