@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -85,3 +86,70 @@ def test_learning_needs_both_classes(spark, odd, none):
     assert T.learn(odd, labels) is None
     assert T.learn(none, labels) is None
     assert T.learn(odd, labels.limit(0)) is None
+
+
+def plain_score(weights, text):
+    """The highest window's probability, word by word and unit by unit."""
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def times(row, table):
+        return [sum(float(a) * float(table[i][j]) for i, a in enumerate(row)) for j in range(len(table[0]))]
+
+    words, best = T.words_of(text), 0.0
+    for places in T.window_places(len(words)):
+        inputs = []
+        for word in (words[place] for place in places if place >= 0):
+            own, grams = T.features([word])
+            grams = [gram for gram in grams[0] if gram >= 0]
+            means = [sum(float(weights["char"][gram][k]) for gram in grams) / len(grams) for k in range(T.EMBEDDING)]
+            inputs.append([float(weights["word"][own[0]][k]) + means[k] for k in range(T.EMBEDDING)])
+        sides = []
+        for d, row in enumerate((inputs, inputs[::-1])):
+            state, states = [0.0] * T.HIDDEN, []
+            for x in row:
+                given = [a + float(b) for a, b in zip(times(x, weights["into"][d]), weights["bias"][d][0])]
+                back = times(state, weights["back"][d])
+                size = T.HIDDEN
+                keep = [sigmoid(given[k] + back[k]) for k in range(size)]
+                reset = [sigmoid(given[size + k] + back[size + k]) for k in range(size)]
+                new = [math.tanh(given[2 * size + k] + reset[k] * back[2 * size + k]) for k in range(size)]
+                state = [keep[k] * state[k] + (1 - keep[k]) * new[k] for k in range(size)]
+                states.append(state)
+            sides.append(states if d == 0 else states[::-1])
+        states = [a + b for a, b in zip(*sides)]
+        drawn = [sum(math.tanh(v) * float(p) for v, p in zip(times(s, weights["look"]), weights["pick"])) for s in states]
+        shares = [math.exp(value) for value in drawn]
+        pooled = [sum(share * s[k] for share, s in zip(shares, states)) / sum(shares) for k in range(2 * T.HIDDEN)]
+        best = max(best, sigmoid(sum(a * float(b) for a, b in zip(pooled, weights["out"])) + float(weights["base"][0])))
+    return best
+
+
+def test_scores_equal_a_plain_pass():
+    weights = T.new_weights(4)
+    texts = ["one two three " * 3, "A single window, of several words.", "x", " ".join(f"word{chr(97 + k % 26)}" for k in range(61)), "", "é" * 40]
+    assert np.allclose(T.Scorer(weights).scores(texts), [plain_score(weights, text) for text in texts], atol=1e-5)
+
+
+def test_every_letter_of_a_long_run_is_read():
+    assert T.words_of("a" * 40 + " b") == ["a" * 16, "a" * 16, "a" * 8, "b"]
+    weights = T.new_weights(2)
+    base = "abcdefgh" * 5
+    scores = T.Scorer(weights).scores([base] + [base[:k] + "z" + base[k + 1 :] for k in range(40)])
+    assert len(set(scores)) == 41
+
+
+def test_learning_reads_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(T, "SAMPLE_TOXIC", 3)
+    monkeypatch.setattr(T, "SAMPLE_CLEAN", 4)
+    monkeypatch.setattr(T, "SAMPLE_CHARS", 100)
+    seen = []
+    monkeypatch.setattr(T, "train", lambda texts, labels: seen.append((texts, labels)))
+    rows = [(n, f"text {n}" + " long" * (30 if n % 10 == 0 else 0)) for n in range(200)] + [(n, "another") for n in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(n, n % 2) for n in range(200)], "doc_id long, toxic int")
+    T.learn(docs, labels)
+    T.learn(docs.repartition(3), labels.repartition(5))
+    assert seen[0] == seen[1] and sorted(seen[0][1]) == [0] * 4 + [1] * 3
+    assert max(map(len, seen[0][0])) <= 100

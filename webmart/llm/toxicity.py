@@ -1,14 +1,15 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is read as words of letters. Each word's input is a word embedding (hashed) plus the mean of embeddings of its
+A text is read as words of letters, runs of over ``WORD_CHARS`` letters as pieces of that many in turn. Each word's input is a word embedding (hashed) plus the mean of embeddings of its
 character n-grams, word ends marked. Windows of ``WINDOW`` words, each starting ``STEP`` words after the last, cover the
 whole text; a gated recurrent layer runs over a window in both directions, attention pools the states and a logistic
 unit scores the window. A document's score is that of its highest window.
 
 Labels belong to documents, so training alternates between scoring the windows of the sample and fitting the network to
 the highest windows of either class and some others of clean documents. It learns from at most ``SAMPLE_TOXIC`` and
-``SAMPLE_CLEAN`` labelled documents outside the held-out fold, those of the lowest hashed ids, and from at most
-``SAMPLE_WINDOWS`` windows of each: a bounded sample however large the table. Scoring covers every window of every text and
+``SAMPLE_CLEAN`` labelled documents outside the held-out fold, those of the lowest hashed ids among texts of at most
+``SAMPLE_CHARS`` characters, and from at most ``SAMPLE_WINDOWS`` windows of each, ``FIRST_WINDOWS`` toxic ones in the first turn: a
+bounded sample however large the table and its texts. Scoring covers every window of every text and
 uses nothing but the text; its memory is bounded by a few texts and a store of words.
 
 Null and empty texts, and texts without letters, have score 0. Without labels of both classes every score is 0. A
@@ -21,22 +22,24 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from webmart.llm.common import Columns, crc_fold, held_out, in_batches, kept
+from webmart.llm.common import Columns, crc_fold, held_out, in_batches, kept, saved
 
 SAMPLE_TOXIC = 1200
 SAMPLE_CLEAN = 2000
+SAMPLE_CHARS = 30_000
 SAMPLE_WINDOWS = 60
+FIRST_WINDOWS = 20_000
 WINDOW, STEP = 24, 12
 THRESHOLD = 0.3
 WORD_ROWS = CHAR_ROWS = 1 << 14
 EMBEDDING, HIDDEN, ATTENTION = 16, 8, 8
-#: Characters of a word that are read; n-grams of these sizes.
+#: Letters of a word at most, longer runs give several; n-grams of these sizes.
 WORD_CHARS, GRAMS = 16, (2, 3, 4)
 #: Words whose inputs a Python worker keeps.
 KEPT_WORDS = 150_000
@@ -47,7 +50,7 @@ ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 256, 0.01
 LEAST_STEPS = 40
 #: Words and n-grams of fewer sample documents say nothing of others; their embeddings stay zero.
 LEAST_DOCS = 3
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(rf"[^\W\d_]{{1,{WORD_CHARS}}}")
 Weights = dict[str, np.ndarray]
 
 
@@ -64,7 +67,7 @@ def _mix(values: np.ndarray) -> np.ndarray:
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Row of the word table for each word, and rows of the character table, -1 where a word has fewer n-grams."""
     width = WORD_CHARS + 2
-    padded = "".join(f"\x02{word[:WORD_CHARS]}\x03".ljust(width, "\0") for word in words)
+    padded = "".join(f"\x02{word}\x03".ljust(width, "\0") for word in words)
     codes = np.frombuffer(padded.encode("utf-32-le", "replace"), dtype="<u4").reshape(-1, width).astype(np.uint64)
     sizes = np.count_nonzero(codes, axis=1)
     powers = np.uint64(0x100000001B3) ** np.arange(width, dtype=np.uint64)
@@ -351,7 +354,7 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None
         weights[name][rows] = 0
     adam = _Adam(weights, rare)
     chosen = np.flatnonzero(toxic)
-    chosen = draw.permutation(chosen)[:20_000]
+    chosen = draw.permutation(chosen)[:FIRST_WINDOWS]
     others = draw.permutation(np.flatnonzero(~toxic))[: len(chosen)]
     for turn in range(ROUNDS + 1):
         _fit(weights, adam, word_rows, char_rows, windows, chosen, others, draw, 1 if turn == 0 else EPOCHS)
@@ -392,13 +395,22 @@ def _fit(weights, adam, word_rows, char_rows, windows, chosen, others, draw, epo
 
 def learn(docs: DataFrame, labels: DataFrame) -> Weights | None:
     """Weights learned on the driver from the bounded sample of labelled documents."""
+    texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (crc_fold() != 2))
     known = known.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.withColumn("rank", F.row_number().over(order))
-    most = F.when(F.col("label") == 1, SAMPLE_TOXIC).otherwise(SAMPLE_CLEAN)
-    sample = F.broadcast(ranked.where(F.col("rank") <= most).select("doc_id", "label"))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").dropDuplicates(["doc_id"]).collect()
+    known = saved(known.join(texts.select("doc_id"), "doc_id", "left_semi"))
+    # each class by itself, so that every task keeps only its lowest ids; the number of rows bounds the broadcast
+    sample = reduce(
+        DataFrame.unionByName,
+        [
+            known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+            for label, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
+        ],
+    )
+    found = texts.join(F.broadcast(sample), "doc_id")
+    # of several texts under one id the one whose hash is lowest
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    rows = found.groupBy("doc_id").agg(one, F.first("label").alias("label")).collect()
     rows.sort(key=lambda row: row.doc_id)
     return train([row.text for row in rows], [row.label for row in rows])
 
