@@ -24,7 +24,7 @@ def test_random_texts_encode_as_in_the_library(model):
         ids = LIBRARY.encode(text, add_eos=True)
         assert model.encode(text) == ids
         assert model.decode(ids) == LIBRARY.decode(ids)
-        assert model.round_trip(text) == model.decode(ids)
+        assert model.round_trip(text) == model.decode(ids) == model.decode_decimal(" ".join(map(str, ids)))
 
 
 def test_any_ids_decode_as_in_the_library(model):
@@ -32,6 +32,8 @@ def test_any_ids_decode_as_in_the_library(model):
     for _ in range(2000):
         ids = [draw.choice([draw.randint(0, 31999), draw.randint(0, 262), 28705]) for _ in range(draw.randint(0, 8))]
         assert model.decode(ids) == LIBRARY.decode(ids)
+        if ids:
+            assert model.decode_decimal(" ".join(map(str, ids))) == LIBRARY.decode(ids)
 
 
 def digest(text):

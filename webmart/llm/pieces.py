@@ -58,6 +58,12 @@ class Pieces:
         reached = [p for p in self.id if p.strip(SPACE) and self.merged(p) == [p]] + [SPACE]
         known = set(reached)
         self.size = [len(piece) for piece in self.piece]
+        special = {*self.bytes, self.unknown}
+        self.plain = {
+            str(i): "" if i in self.silent else piece.replace(SPACE, " ")
+            for i, piece in enumerate(self.piece)
+            if i not in special
+        }
         self.shorter = [-1] * len(self.piece)
         for piece in reached:
             prefixes = (piece[:n] for n in range(len(piece) - 1, 0, -1))
@@ -262,6 +268,20 @@ class Pieces:
         """
         return text.replace(SPACE, " ")
 
+    def decode_decimal(self, numbers: str) -> str:
+        """Text of ids in decimal: of plain pieces joined as they are, of any others by :meth:`decode`."""
+        ids = numbers.split(" ")
+        try:
+            text = "".join(map(self.plain.__getitem__, ids))
+        except KeyError:
+            return self.decode(list(map(int, ids)))
+        return text[1:] if text.startswith(" ") and self.starts_with_space(ids) else text
+
+    def starts_with_space(self, ids: list[str]) -> bool:
+        """Whether the first piece that is no control symbol begins with the space that encoding puts first."""
+        first = next((i for i in map(int, ids) if i not in self.silent), None)
+        return first is not None and self.piece[first].startswith(SPACE)
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids, without the space of the first piece that is no control symbol."""
         text = self.text_of(ids)
@@ -330,7 +350,7 @@ def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
                 numbers = f"{model.in_decimal(text or '')} {model.end}".lstrip()
                 counts.append(numbers.count(" ") + 1)
                 id_digests.append(hashlib.sha256(numbers.encode()).hexdigest())
-                text_digests.append(hashlib.sha256(model.round_trip(text or "").encode("utf-8")).hexdigest())
+                text_digests.append(hashlib.sha256(model.decode_decimal(numbers).encode("utf-8")).hexdigest())
             return {
                 "doc_id": columns["doc_id"],
                 "n_tokens": counts,
