@@ -24,18 +24,44 @@ def test_phrases_equal_plain_search():
     samples = (("x", "".join(draw.choices("abc", k=300))), ("y", "".join(draw.choices("abd", k=200))))
     model = L.CrossParser(samples)
     texts = ["".join(draw.choices("abcd", k=draw.randint(0, 400))) for _ in range(60)] + ["", None, "q", "aqqa"]
-    counts, sizes, _ = model.phrases(texts)
+    counts, sizes, _, strange = model.phrases(texts)
     for k, text in enumerate(texts):
         assert sizes[k] == len(text or "")
+        assert [sum(c not in sample for c in text or "") for _, sample in samples] == strange[:, k].tolist()
         assert [plain_phrases(sample, text or "") for _, sample in samples] == counts[:, k].tolist(), text
 
 
-def test_long_texts_are_parsed_in_blocks():
+def test_long_texts_equal_one_unbroken_parse(monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 64)
+    monkeypatch.setattr(L, "TOGETHER", 5)
     draw = random.Random(4)
-    sample = "".join(draw.choices("abc", k=500))
-    text = "".join(draw.choices("abc", k=3 * L.BLOCK + 17))
-    counts, _, _ = L.CrossParser((("x", sample),)).phrases(["a", text, None])
-    assert counts[0, 1] == sum(plain_phrases(sample, text[i : i + L.BLOCK]) for i in range(0, len(text), L.BLOCK))
+    sample = "".join(draw.choices("abc", k=500)) + "a" * 300 + "xy" * 200
+    other = "".join(draw.choices("abd", k=400))
+    texts = ["".join(draw.choices("abcd", k=draw.randint(0, 900))) for _ in range(30)]
+    texts += ["a" * 1000, "xy" * 700, "aab" * 300, sample, other + sample, "a", None, "", "q" * 200, "a" * 64, "a" * 65]
+    counts, *_ = L.CrossParser((("x", sample), ("y", other))).phrases(texts)
+    for k, text in enumerate(texts):
+        assert counts[:, k].tolist() == [plain_phrases(part, text or "") for part in (sample, other)], text
+
+
+def test_every_letter_of_the_samples_counts():
+    draw = random.Random(5)
+    first, second = (list(map(chr, range(start, start + 1500))) for start in (0x4E00, 0x6E00))
+    samples = tuple((lang, "".join(draw.choices(signs, k=4000))) for lang, signs in (("f", first), ("s", second)))
+    model = L.CrossParser(samples)
+    texts = ["".join(draw.choices(signs, k=300)) for signs in (first, second) for _ in range(5)]
+    texts += [samples[1][1][100:2400], "".join(draw.choices("ab" + "".join(first[:40]), k=500))]
+    counts, *_ = model.phrases(texts)
+    for k, text in enumerate(texts):
+        assert counts[:, k].tolist() == [plain_phrases(sample, text) for _, sample in samples]
+    names, scores = model.predict(texts[:11])
+    assert names == ["f"] * 5 + ["s"] * 6 and min(scores) > 0.5
+
+
+def test_an_id_that_repeats_is_learned_once(spark):
+    rows = [(1, "letters of one text", "en")] * 50 + [(1, "another text of it", "en"), (3, "and a third", "en")]
+    (sample,) = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(sample[1].split("\n")) == 2
 
 
 def test_case_and_signs_do_not_count():
