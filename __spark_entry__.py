@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -25,8 +26,8 @@ from webmart.functions.categories import event_category  # noqa: E402
 from webmart.operators import dimensions, keywords, quality, reporting, sessions  # noqa: E402
 from webmart.plans.mart import Mart  # noqa: E402
 from webmart.sinks import files, insights  # noqa: E402
-from webmart.sinks.tables import ScratchStore, VersionedTable, scratch_folder  # noqa: E402
-from webmart.sources import exports, sample  # noqa: E402
+from webmart.sinks.tables import ScratchStore, VersionedTable, ensure_schema, scratch_folder  # noqa: E402
+from webmart.sources import events, exports, sample  # noqa: E402
 
 _SETTINGS = sample.SETTINGS
 _EVENT_KEYS = ("user_pseudo_id", "event_timestamp", "page_location")
@@ -192,6 +193,79 @@ def _page_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def _day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some days written as day shards, one day left out, and a sub-range of them read back."""
+    root = scratch_folder(spark)
+    every = sample.events(spark, sf_dir)
+    for day in ("20240103", "20240104", "20240106", "20240107"):
+        every.where(F.col("event_date") == day).write.parquet(f"{root}/events_{day}")
+    read = events.read_event_shards(spark, root, "20240104", "20240106")
+    return read.select("user_pseudo_id", "event_date", "event_name", "event_timestamp", F.size("event_params").alias("n_params"))
+
+
+def _missing_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keywords of a folder that lacks all exports but the organic ones of two domains."""
+    root = scratch_folder(spark)
+    raw = sample.keyword_exports(spark, sf_dir).where("source = 'organic' AND domain IN ('merch.google', 'zazzle.com')")
+    for key in ("merch_google", "zazzle_com"):
+        own = raw.where(F.col("domain") == _SETTINGS.domains[key]).drop("domain", "source")
+        files.write_csv(own, f"{root}/organic_keywords_{key}.csv", sep=";")
+    return exports.read_keyword_exports(spark, root, _SETTINGS.domains).select("domain", "source", "Keyword", "Url")
+
+
+def _kept_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared keywords written to one file per domain, read back as text, and loaded with blank text kept."""
+    root = scratch_folder(spark)
+    files.write_csv_per_domain(sample.prepared_keywords(spark, sf_dir), root)
+    parts = [exports.read_export(spark, f"{root}/domain_key={key}", sep=",") for key in _SETTINGS.domains]
+    loaded = keywords.load_keywords(reduce(DataFrame.unionByName, parts), replace(_SETTINGS, keep_empty_text=True))
+    return loaded.select("domain", "Keyword", "Position", "CPC", "join_category", "Url", "joinable_to_ga4")
+
+
+def _insight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The insight log as a partitioned table in a schema of its own, after two runs."""
+    schema = f"insights_{uuid.uuid4().hex[:12]}"
+    ensure_schema(spark, schema)
+    try:
+        report = reporting.brief_report(_brief(spark, sf_dir), _SETTINGS)
+        report = ScratchStore(spark).save("marts", "brief", report)
+        insights.create_insights_table(spark, f"{schema}.ai_insights")
+        for day in (1, 2):
+            insights.append_insights(report, f"{schema}.ai_insights", at=datetime(2024, 2, day, 6, tzinfo=timezone.utc))
+        log = spark.table(f"{schema}.ai_insights").select("insight_type", "insight_text", "generated_date")
+        return ScratchStore(spark).save("marts", "ai_insights", log)
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
+def _snapshot_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords loaded without a snapshot date carry the day of the run."""
+    settings = replace(_SETTINGS, snapshot_date=None)
+    loaded = sample.loaded_keywords(spark, sf_dir, settings)
+    return loaded.groupBy("domain").agg(
+        F.count(F.lit(1)).alias("row_count"), F.bool_and(F.col("snapshot_date") == F.current_date()).alias("is_today")
+    )
+
+
+def _repeated_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many events hold a parameter twice, where every seventh second's events repeat their first one."""
+    first = F.slice("event_params", 1, 1)
+    second = F.floor(F.col("event_timestamp") / 1_000_000)
+    repeated = F.when(second % 7 == 0, F.concat("event_params", first)).otherwise(F.col("event_params"))
+    return quality.repeated_params(sample.events(spark, sf_dir).withColumn("event_params", repeated))
+
+
+def _saved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page dimension of a build that scans the nested events once."""
+    mart = Mart(
+        sample.events(spark, sf_dir),
+        sample.loaded_keywords(spark, sf_dir),
+        sample.domain_ranks(spark, sf_dir),
+        replace(_SETTINGS, save_events=True),
+    )
+    return mart.pages_with_keywords
+
+
 def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = spark.read.parquet(f"{sf_dir}/events.parquet")
     return dimensions.dim_date_spanning(days, F.to_date("ts"))
@@ -247,6 +321,14 @@ def mart_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_error_check": _export_check,
         "domain_ranks_scan": _domain_ranks_scan,
         "table_rebuild": _table_rebuild,
+        "ga4_day_shards": _day_shards,
+        "ga4_param_repeats": _repeated_params,
+        "keyword_union_partial": _missing_exports,
+        "keyword_load_kept_text": _kept_text,
+        "keyword_snapshot_today": _snapshot_today,
+        "top_3000_keywords_per_domain": _over_loaded(keywords.top_keywords_per_domain, 3000),
+        "insights_table": _insight_table,
+        "dim_page_one_scan": _saved_events,
         "keyword_prepare": sample.prepared_keywords,
         "keyword_load": sample.loaded_keywords,
         "kw_path_lookup": _over_loaded(keywords.path_lookup, _SETTINGS),

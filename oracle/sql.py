@@ -351,6 +351,18 @@ brief AS (
 
 _KW = (_RAW_KEYWORDS, _LOOKUPS)
 _STAGED = (_FLAT, *_KW, _ATTRS, _VIEWS, _RESOLVED, _METRICS, _SESSIONS)
+_REPEATED = """
+SELECT param, count(*) FILTER (WHERE has) AS event_count, count(*) FILTER (WHERE has AND first AND again) AS repeated_count
+FROM (
+  SELECT event_timestamp // 1000000 % 7 = 0 AS again, unnest([
+    {'param': 'ga_session_id', 'has': ga_session_id IS NOT NULL, 'first': true},
+    {'param': 'page_location', 'has': page_location IS NOT NULL, 'first': ga_session_id IS NULL},
+    {'param': 'session_engaged', 'has': session_engaged IS NOT NULL, 'first': ga_session_id IS NULL AND page_location IS NULL},
+    {'param': 'engagement_time_msec', 'has': engagement_time_msec IS NOT NULL,
+     'first': ga_session_id IS NULL AND page_location IS NULL AND session_engaged IS NULL}], recursive := true)
+  FROM flat)
+GROUP BY param"""
+
 _FLAWED = """
 flawed AS (
   SELECT *, source || '_keywords_' || replace(domain, '.', '_') AS export,
@@ -459,6 +471,37 @@ def statements() -> dict[str, str]:
         "keyword_rejects": _with((_RAW_KEYWORDS, _FLAWED), _REJECTS),
         "export_error_check": _with((_RAW_KEYWORDS, _FLAWED), _CHECKED),
         "domain_ranks_scan": _with((_RANKS,), "SELECT * FROM domain_ranks"),
+        "ga4_day_shards": _with(
+            (_FLAT,),
+            "SELECT user_pseudo_id, event_date, event_name, event_timestamp, CAST(CAST(ga_session_id IS NOT NULL AS INTEGER) "
+            "+ CAST(page_location IS NOT NULL AS INTEGER) + CAST(session_engaged IS NOT NULL AS INTEGER) "
+            "+ CAST(engagement_time_msec IS NOT NULL AS INTEGER) AS INTEGER) AS n_params "
+            "FROM flat WHERE event_date IN ('20240104', '20240106')",
+        ),
+        "ga4_param_repeats": _with((_FLAT,), _REPEATED),
+        "keyword_union_partial": _with(
+            (_RAW_KEYWORDS,),
+            'SELECT domain, source, kw AS "Keyword", url AS "Url" FROM raw_kw '
+            "WHERE source = 'organic' AND domain IN ('merch.google', 'zazzle.com')",
+        ),
+        "keyword_load_kept_text": _with(
+            (_RAW_KEYWORDS,),
+            'SELECT domain, kw AS "Keyword", CAST(pos AS BIGINT) AS "Position", cpc AS "CPC", '
+            "coalesce(join_category, '') AS join_category, coalesce(url, '') AS \"Url\", "
+            f"{joinable} AS joinable_to_ga4 FROM kw",
+        ),
+        "keyword_snapshot_today": _with(
+            (_RAW_KEYWORDS,), "SELECT domain, count(*) AS row_count, true AS is_today FROM kw GROUP BY domain"
+        ),
+        "top_3000_keywords_per_domain": _with((_RAW_KEYWORDS,), top.replace("<= 500", "<= 3000")),
+        "insights_table": _with(
+            _MART,
+            "SELECT 'channel_recommendation' AS insight_type, d AS generated_date, "
+            "'Channel Performance Summary (2024-01-16 to 2024-01-30):' || chr(10) || chr(10) || "
+            "string_agg(brief || chr(10), chr(10) ORDER BY revenue DESC, channel_group) AS insight_text "
+            "FROM brief, (VALUES (DATE '2024-02-01'), (DATE '2024-02-02')) AS days(d) GROUP BY d",
+        ),
+        "dim_page_one_scan": _with(_MART, "SELECT * FROM dim_page"),
         "table_rebuild": _with((_RAW_KEYWORDS,), _REBUILT),
         "keyword_prepare": _with((_RAW_KEYWORDS,), _PREPARED),
         "keyword_load": _with((_RAW_KEYWORDS,), _LOADED),

@@ -2,6 +2,7 @@
 
 import math
 from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from webmart.functions import casts, kpis, labels, paths
 from webmart.functions.calendar import is_weekend, sunday_week
 from webmart.functions.categories import CATEGORIES, CATEGORY_RULES, event_category, keyword_category
-from webmart.functions.params import event_param
+from webmart.functions.params import event_param, param_count
+from webmart.operators import quality
 from webmart.schemas import EVENTS
 from webmart.settings import MartSettings
 
@@ -240,3 +242,37 @@ def test_amounts_add_up_without_a_cut(spark, amounts, total):
     frame = spark.createDataFrame([(amount,) for amount in amounts], "amount double")
     assert frame.agg(casts.exact_sum(F.col("amount"))).first()[0] == total
     assert math.isnan(frame.agg(casts.exact_sum(F.lit(float("nan")))).first()[0])
+
+
+def test_large_amounts_keep_their_digits_on_any_partitioning(spark):
+    assert spark.createDataFrame([(1e9 + 0.123,)] * 2, "a double").agg(casts.exact_sum(F.col("a"))).first()[0] == 2000000000.246
+    rows = [((-1) ** n * 10.0 ** (n % 22) * (1 + n / 7),) for n in range(4000)]
+    frame = spark.createDataFrame(rows, "a double")
+    sums = {frame.repartition(parts).agg(casts.exact_sum(F.col("a"))).first()[0] for parts in (1, 3, 8, 40)}
+    assert len(sums) == 1
+    exact = sum(Decimal(repr(amount)) for (amount,) in rows if abs(amount) >= 1e9)
+    exact += sum(Decimal(repr(amount)).quantize(Decimal("1e-15"), ROUND_HALF_UP) for (amount,) in rows if abs(amount) < 1e9)
+    assert abs(Decimal(sums.pop()) - exact) <= abs(exact) * Decimal("1e-15")
+
+
+def _event(*pairs):
+    return ("u", [(key, (whole, text)) for key, whole, text in pairs])
+
+
+def test_repeated_parameters_are_counted_or_refused(spark):
+    params = "array<struct<key: string, value: struct<int_value: bigint, string_value: string>>>"
+    rows = [
+        _event(("ga_session_id", 1, None), ("page_location", None, "p"), ("ga_session_id", 2, None)),
+        _event(("ga_session_id", 3, None), (None, 4, None)),
+        _event(),
+        ("v", None),
+    ]
+    events = spark.createDataFrame(rows, f"user_pseudo_id string, event_params {params}")
+    found = events.select(event_param("ga_session_id", "int_value"), param_count("ga_session_id")).collect()
+    assert [tuple(row) for row in found] == [(1, 2), (3, 1), (None, 0), (None, 0)]
+    counted = {row.param: (row.event_count, row.repeated_count) for row in quality.repeated_params(events).collect()}
+    assert counted["ga_session_id"] == (2, 1) and counted["page_location"] == (1, 0)
+    with pytest.raises(Exception, match="ga_session_id repeats in an event of u"):
+        events.select(event_param("ga_session_id", "int_value", strict=True)).collect()
+    fine = events.where("size(event_params) < 3")
+    assert fine.select(event_param("ga_session_id", "int_value", strict=True)).count() == 2

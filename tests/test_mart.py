@@ -1,6 +1,7 @@
 """Sessions, whole builds, invariants and plans."""
 
 import re
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -406,3 +407,20 @@ def test_checks(spark):
     empty = spark.createDataFrame([], "total int, joinable_to_ga4 boolean, page_path string, join_category string")
     row = quality.preparation_summary(empty).first()
     assert (row.total_rows, row.joinable_pct) == (0, None)
+
+
+def test_saved_events_give_the_same_tables_from_one_scan(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "nested")
+    sample.events(spark, sf_dir).write.parquet(path)
+    nested = spark.read.parquet(path)
+    given = (nested, sample.loaded_keywords(spark, sf_dir), sample.domain_ranks(spark, sf_dir))
+    twice = Mart(*given, sample.SETTINGS)
+    once = Mart(*given, replace(sample.SETTINGS, save_events=True))
+    for name in ("sessions", "pages_with_keywords"):
+        mine, wanted = getattr(once, name), getattr(twice, name)
+        assert mine.exceptAll(wanted).count() == wanted.exceptAll(mine).count() == 0
+    plans = [once.page_universe, once.flat_events]
+    for frame in plans:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "event_params" not in plan and path not in plan
+    assert "event_params" in twice.page_universe._jdf.queryExecution().executedPlan().toString()

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from webmart.functions.paths import strip_space
 
-# Amounts below the first bound add up exactly to 15 decimals, those below the second to 2.
+# Amounts below the first bound add up exactly to 15 decimals. Those from it to the second have seven digits at most behind
+# the point, as a double has 17 in all, so nothing is cut off.
 _SMALL, _FINE = 1e9, "decimal(27,15)"
-_LARGE, _COARSE = 1e25, "decimal(28,2)"
+_LARGE, _COARSE = 1e25, "decimal(32,7)"
 
 
 def to_whole(text: Column) -> Column:
@@ -45,8 +46,8 @@ def count_where(condition: Column) -> Column:
 def amount_sums(amount: Column) -> list[Column]:
     """Sums of doubles by size, which can be added up again and put together with :func:`added`.
 
-    Amounts below 1e25 are summed as decimals, so the order of the rows, hence the partitioning, does not matter. Larger
-    ones, infinities and NaN stay doubles: they show in the total instead of vanishing from it.
+    Amounts below 1e25 are summed as decimals with all their digits, so the order of the rows, hence the partitioning, does
+    not matter. Larger ones, infinities and NaN stay doubles: they show in the total instead of vanishing from it.
     """
     size = F.abs(amount)
     return [

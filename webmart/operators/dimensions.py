@@ -46,9 +46,13 @@ def dim_channel(sessions: DataFrame) -> DataFrame:
 
 
 def viewed_paths(events: DataFrame, settings: MartSettings) -> DataFrame:
-    """Distinct paths of all page views, without the site prefix. Reads only event names and parameters."""
+    """Distinct paths of all page views, without the site prefix, of nested or of flat events.
+
+    Reads only event names and page locations.
+    """
     views = events.where(F.col("event_name") == "page_view")
-    raw = views.select(paths.event_path(event_param("page_location", "string_value")).alias("raw_page_path"))
+    location = F.col("page_location") if "page_location" in events.columns else event_param("page_location", "string_value")
+    raw = views.select(paths.event_path(location).alias("raw_page_path"))
     return raw.select(paths.strip_prefix(F.col("raw_page_path"), settings.site_prefix).alias("stripped_path")).distinct()
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webmart.functions.params import PARAMS, param_count
+
 from webmart.settings import MartSettings
 
 # Fixed value: label of keyword rows without a category.
@@ -74,3 +76,16 @@ def joinable_share(prepared: DataFrame) -> DataFrame:
 def rejects_per_file(rejected: DataFrame) -> DataFrame:
     """Rows left out of each export file."""
     return rejected.groupBy("export_file").agg(F.count(F.lit(1)).alias("row_count")).orderBy("export_file")
+
+
+def repeated_params(events: DataFrame) -> DataFrame:
+    """For each parameter that the mart reads, the events that have it and those that have it more than once."""
+    counts = [
+        F.struct(
+            F.lit(key).alias("param"),
+            F.count_if(param_count(key) > 0).alias("event_count"),
+            F.count_if(param_count(key) > 1).alias("repeated_count"),
+        )
+        for key in PARAMS
+    ]
+    return events.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

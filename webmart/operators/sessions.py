@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webmart.functions import casts, paths
+from webmart.functions import casts, params, paths
 from webmart.functions.categories import CATEGORIES, event_category
-from webmart.functions.params import event_param
 from webmart.operators import keywords as kw
 from webmart.settings import MartSettings
 
@@ -34,8 +33,15 @@ def _is_engaged() -> Column:
     return F.col("session_engaged") == "1"
 
 
-def extract_events(events: DataFrame) -> DataFrame:
-    """Flat event columns: keys, traffic and device fields, and the four named parameters."""
+def extract_events(events: DataFrame, strict: bool = False) -> DataFrame:
+    """Flat event columns: keys, traffic and device fields, and the four named parameters.
+
+    ``strict`` ends the query where an event has one of the parameters more than once.
+    """
+
+    def event_param(key: str, field: str) -> Column:
+        return params.event_param(key, field, strict)
+
     return events.select(
         "user_pseudo_id",
         event_param("ga_session_id", "int_value").alias("ga_session_id"),
@@ -132,6 +138,11 @@ def resolve_pages(stripped: DataFrame, path_lookup: DataFrame, category_lookup:
     )
 
 
+def useful_events(extracted: DataFrame) -> DataFrame:
+    """The events that sessions or pages read anything from."""
+    return extracted.where(_is(START) | _is(VIEW) | _is(PURCHASE) | _is_engaged())
+
+
 def sessions(
     extracted: DataFrame, path_lookup: DataFrame, category_lookup: DataFrame, settings: MartSettings
 ) -> DataFrame:
@@ -140,7 +151,7 @@ def sessions(
     Start attributes, first page view and metrics come out of one aggregation on the session key. Events without a
     session id form one row per user, with no page and no metrics.
     """
-    useful = extracted.where(_is(START) | _is(VIEW) | _is(PURCHASE) | _is_engaged())
+    useful = useful_events(extracted)
     start = _earliest(_is(START), *_ATTRIBUTES)
     view = _earliest(_is(VIEW), "event_timestamp", "page_location")
     first_path = paths.strip_prefix(paths.event_path(view["page_location"]), settings.site_prefix)
@@ -180,7 +191,7 @@ def sessions(
 def stg_sessions(events: DataFrame, keywords: DataFrame, settings: MartSettings) -> DataFrame:
     """Sessions straight from nested events and the loaded keyword table."""
     return sessions(
-        extract_events(events),
+        extract_events(events, settings.strict_params),
         kw.path_lookup(keywords, settings),
         kw.category_lookup(keywords, settings),
         settings,

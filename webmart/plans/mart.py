@@ -50,9 +50,16 @@ class Mart:
     def keywords(self) -> DataFrame:
         return self.store.save("staging", "semrush_keywords", self.loaded_keywords)
 
+    @cached_property
+    def flat_events(self) -> DataFrame:
+        """The events that the mart reads, flat; saved if the settings say so, which scans the nested ones once."""
+        flat = sessions.extract_events(self.events, self.settings.strict_params)
+        return self.store.save("staging", "ga4_events", sessions.useful_events(flat)) if self.settings.save_events else flat
+
     @cached_property
     def sessions(self) -> DataFrame:
-        staged = sessions.stg_sessions(self.events, self.keywords, self.settings)
+        lookups = (lookup(self.keywords, self.settings) for lookup in (keywords.path_lookup, keywords.category_lookup))
+        staged = sessions.sessions(self.flat_events, *lookups, self.settings)
         return self.store.save("staging", "ga4_sessions", staged, ("session_date",))
 
     @cached_property
@@ -66,7 +73,7 @@ class Mart:
     @cached_property
     def page_universe(self) -> DataFrame:
         return dimensions.page_universe(
-            dimensions.viewed_paths(self.events, self.settings),
+            dimensions.viewed_paths(self.flat_events if self.settings.save_events else self.events, self.settings),
             keywords.path_lookup(self.keywords, self.settings),
             self.sessions,
         )

@@ -36,6 +36,8 @@ class MartSettings:
     ``event_days`` are inclusive ``yyyyMMdd`` bounds; the other ranges are inclusive dates.
     ``snapshot_date`` stamps keyword and rank loads; ``None`` means the day the job runs.
     ``keep_empty_text`` keeps blank keyword fields as ``''`` where they would otherwise be NULL.
+    ``strict_params`` ends a build where an event has a parameter more than once; otherwise the first counts.
+    ``save_events`` writes the flat events that sessions and pages read, so that the nested ones are scanned once.
     ``normalize_landing`` also strips the site prefix from landing pages, so that they can meet the page dimension.
     """
 
@@ -48,4 +50,6 @@ class MartSettings:
     snapshot_date: date | None = None
     keep_empty_text: bool = False
     normalize_landing: bool = False
+    strict_params: bool = False
+    save_events: bool = False
     domains: dict[str, str] = field(default_factory=lambda: dict(DOMAINS))
