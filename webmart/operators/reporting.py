@@ -112,10 +112,11 @@ def _within(period: tuple[date, date]) -> Column:
 _SUMMARY = ("sessions", "conversions", "conversion_rate", "revenue", "avg_revenue_per_session")
 
 
-def channel_summary(fact: DataFrame, channels: DataFrame, settings: MartSettings) -> DataFrame:
+def channel_summary(fact: DataFrame, channels: DataFrame, settings: MartSettings, unique: bool = False) -> DataFrame:
     """Channel groups of the current period beside the same figures of the previous one, most revenue first.
 
-    Both periods come from one pass: a session counts once for each period it falls in, and the two rows per group
+    ``unique`` says that no session has two rows, as in a fact that the mart built: sessions are then counted as rows, and
+    no session id is shuffled. Both periods come from one pass: a session counts once for each period it falls in, and the two rows per group
     are then laid side by side. Groups seen in the previous period only are left out.
     """
     periods = {"current": settings.current_period, "previous": settings.previous_period}
@@ -136,7 +137,7 @@ def channel_summary(fact: DataFrame, channels: DataFrame, settings: MartSettings
         )
         .groupBy("channel_group", "period")
         .agg(
-            F.count_distinct("session_id").alias("sessions"),
+            (F.count if unique else F.count_distinct)("session_id").alias("sessions"),
             F.count_if(F.col("purchases") > 0).alias("conversions"),
             casts.exact_sum(F.col("revenue")).alias("revenue"),
         )

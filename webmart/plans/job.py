@@ -33,6 +33,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--domains", nargs="+", metavar="key=domain", help="tracked domains by their export file key")
     parser.add_argument("--snapshot-date", type=date.fromisoformat, metavar="yyyy-MM-dd", help="default: today")
     parser.add_argument("--calendar", nargs=2, type=date.fromisoformat, metavar="yyyy-MM-dd", help="default: the days")
+    parser.add_argument("--report-views", action="store_true", help="reports as views instead of saved tables")
+    parser.add_argument("--strict-params", action="store_true", help="end the build where an event repeats a parameter")
+    parser.add_argument("--save-events", action="store_true", help="save the flat events, so that nested ones are read once")
     parser.add_argument("--keep-empty-text", action="store_true")
     parser.add_argument("--normalize-landing", action="store_true")
     parser.add_argument("--days", nargs=2, default=defaults.event_days, metavar="yyyyMMdd")
@@ -53,6 +56,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         snapshot_date=given.snapshot_date,
         keep_empty_text=given.keep_empty_text,
         normalize_landing=given.normalize_landing,
+        strict_params=given.strict_params,
+        save_events=given.save_events,
         event_days=(first, last),
         calendar=tuple(given.calendar or days),
         current_period=tuple(given.current),
@@ -72,6 +77,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         given.staging,
         given.marts,
         given.reporting,
+        given.report_views,
     )
     log = f"`{given.marts}`.`ai_insights`"
     insights.create_insights_table(spark, log)

@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 
 from webmart.operators import dimensions, keywords, quality, reporting, sessions
+from webmart.plans.views import create_report_views
 from webmart.settings import MartSettings
 from webmart.sinks.tables import CatalogStore, ScratchStore
 
@@ -118,8 +119,12 @@ class Mart:
         raise KeyError(name)
 
     def channel_summary(self, fact: DataFrame | None = None) -> DataFrame:
-        """Period comparison over the given fact or, as it needs session columns only, over the saved sessions."""
-        return reporting.channel_summary(self.sessions if fact is None else fact, self.dim_channel, self.settings)
+        """Period comparison over the mart's fact or, as it needs session columns only, over the saved sessions.
+
+        Both hold a session once: sessions are groups of user and session number, whose id tells them apart, and every
+        dimension has its key once.
+        """
+        return reporting.channel_summary(self.sessions if fact is None else fact, self.dim_channel, self.settings, unique=True)
 
     def mart_counts(self) -> DataFrame:
         """Rows of each dimension and of the fact."""
@@ -145,11 +150,13 @@ def build_mart(
     staging: str = "staging",
     marts: str = "marts",
     reporting_schema: str = "reporting",
+    report_views: bool = False,
 ) -> Mart:
     """Build and save every table of the mart in catalog schemas; running it again replaces them.
 
     Reports ``rpt_*`` and ``v_channel_summary`` are saved too, in a schema of their own, so that other sessions can
-    read them; the building session also has them as temporary views under their bare names.
+    read them; with ``report_views`` they are catalog views instead, which are computed when they are read. The
+    building session also has them as temporary views under their bare names.
     """
     spark = events.sparkSession
     store = CatalogStore(spark, staging, marts, reporting_schema)
@@ -164,8 +171,12 @@ def build_mart(
     for name in REPORTS:
         report = mart.report(name, mart.saved_fact)
         report.createOrReplaceTempView(name)
-        store.save("reporting", name, report)
+        if not report_views:
+            store.save("reporting", name, report)
     summary = mart.channel_summary(mart.saved_fact)
     summary.createOrReplaceTempView("v_channel_summary")
-    store.save("reporting", "v_channel_summary", summary)
+    if report_views:
+        create_report_views(spark, settings, marts, reporting_schema)
+    else:
+        store.save("reporting", "v_channel_summary", summary)
     return mart
