@@ -3,8 +3,8 @@
 Each line of at least ``least`` words is normalised (lower case, single spaces) and hashed to 96 bits. Occurrences are
 ranked by doc_id and place; the first keeps its text and every later one is removed, wherever it stands. A first pass
 counts 64 bits of each digest, before and after the shuffle, so a line that a third of all documents share sends one row
-per task. A second pass hashes again and keeps the occurrences of the digests that the first pass met twice, by a join
-that Spark splits where one digest is crowded; only these are saved, ranked and joined by all 96 bits.
+per task. A second pass hashes again and keeps the occurrences of the digests that the first pass met twice; these are saved,
+and so is the first of each by all 96 bits, so that Spark splits both joins where one digest is crowded.
 
 Lines are hashed a second time in sentence-sized units (``passage_units``), ranked in the same way, so that a passage
 inside a longer line is found too. A sentence of over ``LONG_WORDS`` words is cut between two words chosen by the hash of
@@ -163,7 +163,8 @@ def repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     often = saved(keys(docs, least).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     found = saved(units(docs, least).join(often, "key"))
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "place")
-    first = found.groupBy("key", "rest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # saved, so that the join is one of two plain shuffles, which Spark splits where one digest is crowded
+    first = saved(found.groupBy("key", "rest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1"))
     later = found.withColumn("rank", rank).join(first, ["key", "rest"]).where(F.col("rank") != F.col("first"))
     begin = F.shiftright("place", 32).cast("int").alias("start")
     end = F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int").alias("end")
