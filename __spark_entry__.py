@@ -24,7 +24,7 @@ from oracle.sql import statements  # noqa: E402
 from webmart.functions import paths  # noqa: E402
 from webmart.functions.categories import event_category  # noqa: E402
 from webmart.operators import dimensions, keywords, quality, reporting, sessions  # noqa: E402
-from webmart.plans.mart import Mart  # noqa: E402
+from webmart.plans.mart import Mart, build_mart  # noqa: E402
 from webmart.sinks import files, insights  # noqa: E402
 from webmart.sinks.tables import ScratchStore, VersionedTable, ensure_schema, scratch_folder  # noqa: E402
 from webmart.sources import events, exports, sample  # noqa: E402
@@ -238,6 +238,20 @@ def _insight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
 
 
+def _summary_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The period summary as another session reads it from its catalog view, after a whole build."""
+    run = uuid.uuid4().hex[:12]
+    schemas = [f"{layer}_{run}" for layer in ("staging", "marts", "reports")]
+    given = (sample.events(spark, sf_dir), sample.loaded_keywords(spark, sf_dir), sample.domain_ranks(spark, sf_dir))
+    try:
+        build_mart(*given, _SETTINGS, *schemas, report_views=True)
+        view = spark.newSession().table(f"{schemas[2]}.v_channel_summary")
+        return spark.createDataFrame(view.collect(), view.schema)  # a row for each channel group, a handful
+    finally:
+        for schema in schemas:
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
 def _snapshot_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords loaded without a snapshot date carry the day of the run."""
     settings = replace(_SETTINGS, snapshot_date=None)
@@ -328,6 +342,7 @@ def mart_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keyword_snapshot_today": _snapshot_today,
         "top_3000_keywords_per_domain": _over_loaded(keywords.top_keywords_per_domain, 3000),
         "insights_table": _insight_table,
+        "v_channel_summary_view": _summary_view,
         "dim_page_one_scan": _saved_events,
         "keyword_prepare": sample.prepared_keywords,
         "keyword_load": sample.loaded_keywords,

@@ -501,6 +501,7 @@ def statements() -> dict[str, str]:
             "string_agg(brief || chr(10), chr(10) ORDER BY revenue DESC, channel_group) AS insight_text "
             "FROM brief, (VALUES (DATE '2024-02-01'), (DATE '2024-02-02')) AS days(d) GROUP BY d",
         ),
+        "v_channel_summary_view": _with(_MART, "SELECT * FROM channel_summary"),
         "dim_page_one_scan": _with(_MART, "SELECT * FROM dim_page"),
         "table_rebuild": _with((_RAW_KEYWORDS,), _REBUILT),
         "keyword_prepare": _with((_RAW_KEYWORDS,), _PREPARED),
