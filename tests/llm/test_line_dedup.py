@@ -53,3 +53,15 @@ def test_case_and_spaces_do_not_count(spark):
     rows = [(2, "ONE  two three\tfour five\nshort line"), (1, "one two three four five\nshort line")]
     found = line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {row.doc_id: row.text for row in found} == {1: rows[1][1], 2: "short line"}
+
+
+def test_a_crowded_digest_is_joined_in_a_way_that_spark_splits(spark, monkeypatch):
+    """Both sides of the join by digest are saved tables; no aggregate stands in its stage."""
+    seen = []
+    real = line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", lambda frame: seen.append(frame) or real(frame))
+    rows = [(n, "one line of five words or more\nand its own number " + "x" * n) for n in range(50)]
+    later = line_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(seen) == 3 and later.count() == 49
+    joined = later._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("Aggregate") == 1 and joined.index("Aggregate") < joined.index("Join")
