@@ -134,3 +134,11 @@ def test_periods_are_planted_as_stated(spark, small):
     found = {row.doc_id: row.text for row in periodic_runs.with_planted_periods(docs).collect()}
     for row in docs.collect():
         assert re.findall(r"[^\x20\x09-\x0D]+", found[row.doc_id] or "") == planted(row.doc_id, row.text)
+
+
+def test_texts_without_words_under_any_id(spark):
+    rows = [(n, text) for n in range(-60, 60) for text in ("", None, " \t\n", "one", "one two  one two one two one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = periodic_runs.run_digests(periodic_runs.find_runs(periodic_runs.with_planted_periods(docs)))
+    assert sorted(map(tuple, found.collect()), key=repr) == expected(docs.collect())
+    assert any(zlib.crc32(str(n).encode()) % 10 == 0 for n in range(-60, 60))

@@ -262,7 +262,7 @@ def with_planted_periods(docs: DataFrame) -> DataFrame:
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
     rows = docs.select("doc_id", "text", crc.alias("h"), F.when(crc % 10 == 0, words).alias("words"))
-    rows = rows.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    rows = rows.withColumns({"n": F.nullif(F.size("words"), F.lit(0)), "g": F.floor(F.col("h") / 10)})
     rows = rows.withColumn("a", F.col("g") % F.col("n")).withColumn(
         "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
     )
