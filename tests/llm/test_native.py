@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webmart.llm import mixing, queries, url_filter
+from webmart.llm.common import saved
 
 
 @pytest.mark.parametrize("name", ["op7_mixing", "op9_url_filter"])
@@ -38,6 +39,20 @@ def test_raked_margins_reach_their_targets(spark):
         assert {row[margin]: round(row.w / total / 0.2, 3) for row in sums} == target
 
 
+def test_plans_of_raking_stay_small(spark, monkeypatch):
+    joins = []
+
+    def counted(frame):
+        joins.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return saved(frame)
+
+    monkeypatch.setattr(mixing, "saved", counted)
+    rows = [(f"s{s}", f"l{l}", "t", 100 + 37 * s + 11 * l * s) for s in range(4) for l in range(3)]
+    raked = mixing.rake(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"), rounds=2)
+    assert raked.count() == len(rows)
+    assert max(joins) <= len(mixing.MARGINS)
+
+
 @pytest.mark.parametrize("name", ["odd", "none", "clashing"])
 def test_mixture_of_odd_rows(request, name):
     docs = request.getfixturevalue(name)

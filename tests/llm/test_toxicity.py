@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -153,3 +154,27 @@ def test_learning_reads_a_bounded_sample(spark, monkeypatch):
     T.learn(docs.repartition(3), labels.repartition(5))
     assert seen[0] == seen[1] and sorted(seen[0][1]) == [0] * 4 + [1] * 3
     assert max(map(len, seen[0][0])) <= 100
+
+
+def test_features_of_many_words_are_those_of_each():
+    words = [f"w{'abcdefghij'[k % 10]}{'klmnopq'[k % 7]}" * (1 + k % 4) for k in range(50)]
+    for one, other in zip(T._all_features(words, 7), T.features(words)):
+        assert (one == other).all() and one.dtype == other.dtype
+
+
+def test_training_scores_beside_one_table_of_inputs():
+    draw = np.random.default_rng(0)
+    many = 200_000
+    words = draw.integers(0, T.WORD_ROWS, many).astype(np.int32)
+    grams = draw.integers(0, T.CHAR_ROWS, (many, 12)).astype(np.int32)
+    windows = draw.integers(0, many, (5, T.WINDOW))
+    windows[0, 7:] = -1
+    weights = T.new_weights(1)
+    tracemalloc.start()
+    logits = T._all_logits(weights, words, grams, windows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * (2 * many * 3 * T.HIDDEN * 4)
+    used = np.unique(windows[windows >= 0])
+    local = np.where(windows >= 0, np.searchsorted(used, windows), -1)
+    assert np.allclose(logits, T._all_logits(weights, words[used], grams[used], local), atol=1e-5)

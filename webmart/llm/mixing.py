@@ -102,15 +102,17 @@ def rake(
             shares.join(F.broadcast(total)).select(margin, (F.col("share") * F.col("all_tokens") * budget).alias("goal"))
         )
     raked = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for margin in margins:
+        raked = raked.join(goals[margin].withColumnRenamed("goal", f"goal_{margin}"), margin, "left")
+    goal_columns = [f"goal_{margin}" for margin in margins]
+    raked = saved(raked.select(*margins, "tokens", "weight", *goal_columns))
     for _ in range(rounds):
         for margin in margins:
             sums = raked.groupBy(margin).agg(F.sum("weight").alias("sum")).where("sum > 0")
-            factor = goals[margin].join(sums, margin).select(margin, (F.col("goal") / F.col("sum")).alias("factor"))
-            grown = F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0))
-            raked = raked.join(factor, margin, "left").select(
-                *margins, "tokens", F.least(F.col("tokens").cast("double"), grown).alias("weight")
-            )
-        raked = saved(raked)
+            grown = F.coalesce(F.col("weight") * (F.col(f"goal_{margin}") / F.col("sum")), F.lit(0.0))
+            weight = F.least(F.col("tokens").cast("double"), grown).alias("weight")
+            # saved each time: a step reads the one before twice, so unsaved plans would double with every margin
+            raked = saved(raked.join(sums, margin, "left").select(*margins, "tokens", weight, *goal_columns))
     return raked.select(*margins, F.round(F.col("weight") / F.col("tokens"), 6).alias("probability"))
 
 

@@ -84,6 +84,15 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (whole % np.uint64(WORD_ROWS)).astype(np.int32), np.concatenate(grams, axis=1)
 
 
+def _all_features(words: list[str], rows: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """The features of many words, so many at once."""
+    word_rows = np.empty(len(words), np.int32)
+    char_rows = np.empty((len(words), sum(WORD_CHARS + 3 - size for size in GRAMS)), np.int32)
+    for begin in range(0, len(words), rows):
+        word_rows[begin : begin + rows], char_rows[begin : begin + rows] = features(words[begin : begin + rows])
+    return word_rows, char_rows
+
+
 def _in_few(rows_of: np.ndarray, documents: list[np.ndarray], size: int) -> np.ndarray:
     """Which rows of a table of this size occur in fewer than ``LEAST_DOCS`` documents, given as words' places."""
     met = np.zeros(size, dtype=np.int32)
@@ -335,9 +344,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None
             kept.append((np.array(places, dtype=np.int32), label))
     if len({label for _, label in kept}) < 2:
         return None
-    ordered = list(vocabulary)
-    pieces = [features(ordered[at : at + 20_000]) for at in range(0, len(ordered), 20_000)]
-    word_rows, char_rows = (np.concatenate(group) for group in zip(*pieces))
+    word_rows, char_rows = _all_features(list(vocabulary))
+    del vocabulary
     windows, owners = [], []
     for k, (rows, _) in enumerate(kept):
         places = window_places(len(rows))
@@ -372,9 +380,11 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Weights | None
 
 def _all_logits(weights: Weights, word_rows, char_rows, windows) -> np.ndarray:
     scorer = Scorer(weights)
-    inputs = _embed(weights, word_rows, char_rows)
-    given = inputs @ weights["into"] + weights["bias"]
-    scorer.given = np.concatenate([np.zeros_like(given[:, :1]), given], axis=1)
+    scorer.given = np.zeros((2, len(word_rows) + 1, 3 * HIDDEN), np.float32)
+    for begin in range(0, len(word_rows), 8192):  # bounds what stands beside the one table
+        part = slice(begin, begin + 8192)
+        inputs = _embed(weights, word_rows[part], char_rows[part])
+        scorer.given[:, begin + 1 : begin + 1 + len(inputs)] = inputs @ weights["into"] + weights["bias"]
     return scorer.logits(windows + 1)
 
 
